@@ -14,6 +14,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Plans estimated below this size are joined plainly: one task can hold all of it.
 SMALL_PLAN_BYTES = 256 * 1024 * 1024
@@ -32,9 +33,9 @@ def plan_bytes(df: DataFrame) -> int:
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:
     """The at most ``HEAVY_KEYS`` most frequent key values with at least ``rows`` rows."""
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return (
-        df.select(*keys)
-        .na.drop("any", subset=list(keys))
+        df.where(known)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= rows)
@@ -43,12 +44,14 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> Da
     )
 
 
-def _spread(columns: Sequence[str], n: Column) -> Column:
+def _spread(df: DataFrame, n: Column) -> Column:
     """Retry-stable salt: row content plus the task's partition number.
 
     Content alone would put all copies of one row on one salt; a random number would
     differ when a lost task runs again and so drop or double rows.
     """
+    unhashable = (T.MapType, T.VariantType)
+    columns = [f.name for f in df.schema if not isinstance(f.dataType, unhashable)]
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), n).cast("int")
 
 
@@ -87,26 +90,26 @@ def spread_join(
 
     l = left.join(grid, keys, "left").select(
         *l_columns,
-        F.when(null_key, _spread(l_columns, F.lit(SALTS)))
-        .when(F.col("_an") > 1, _spread(l_columns, F.col("_an")))
+        F.when(null_key, _spread(left, F.lit(SALTS)))
+        .when(F.col("_an") > 1, _spread(left, F.col("_an")))
         .otherwise(F.lit(0))
         .alias("_a"),
+        F.coalesce(F.col("_bn"), one).alias("_copies"),
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bn"), one) - 1)).alias("_b"),
     )
     r = right.join(grid, keys, "left").select(
         *keys,
         *r_columns,
         F.lit(True).alias("_hit"),
-        F.when(F.col("_bn") > 1, _spread(right.columns, F.col("_bn")))
+        F.when(F.col("_bn") > 1, _spread(right, F.col("_bn")))
         .otherwise(F.lit(0))
         .alias("_b"),
         F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_an"), one) - 1)).alias("_a"),
     )
     joined = l.join(r, [*keys, "_a", "_b"], how)
     if how == "left":
-        # A left row replicated over b meets its right rows on some of the b only. Keep
-        # the unmatched copy just for rows no b can match: those were not replicated,
-        # because a key is replicated only if the right side was counted to hold it.
-        replicated = joined.join(grid.select(*keys, "_bn"), keys, "left")
-        joined = replicated.where(F.col("_hit") | F.coalesce(F.col("_bn"), one).eqNullSafe(one))
+        # A left row copied over b meets its right rows on some of the b only. A copy
+        # without one is surplus: a key is copied only if the right side was counted to
+        # hold it, so another copy of the row did match.
+        joined = joined.where(F.col("_hit") | (F.col("_copies") == 1))
     return joined.select(*l_columns, *r_columns)
