@@ -332,13 +332,12 @@ def choose_batch(df: DataFrame, batch_id: int | None = None) -> DataFrame:
     """PRJ-21: one batch, the given or the latest; without a batch column all rows.
 
     The latest id is a scalar subquery: it reaches the scan as a pushed filter and
-    prunes partitions, with no trip to the driver. If every id is null nothing is
-    filtered.
+    prunes partitions, with no trip to the driver. The comparison is null-safe because
+    the latest id is null only if every id is, and then all rows are wanted.
     """
     column = find_column(df, "BATCH_ID")
     if column is None:
         return df
     if batch_id is not None:
         return df.where(col(column) == F.lit(batch_id))
-    latest = df.select(F.max(col(column)))
-    return df.where((col(column) == latest.scalar()) | latest.scalar().isNull())
+    return df.where(col(column).eqNullSafe(df.select(F.max(col(column))).scalar()))
