@@ -18,7 +18,6 @@ from goldrow.operators.schema import (
     align,
     all_strings,
     col,
-    find_column,
     json_complex_columns,
     require_column,
 )
@@ -251,6 +250,3 @@ def snapshot(df: DataFrame, root: str, entity: str, day: date | datetime) -> str
     df.write.mode("overwrite").parquet(path)
     return path
 
-
-def has_batch(df: DataFrame) -> bool:
-    return find_column(df, "batch_id") is not None
