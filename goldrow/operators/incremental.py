@@ -6,7 +6,6 @@ import logging
 from collections.abc import Mapping
 from datetime import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -81,15 +80,16 @@ def changed_keys(
     low, high = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     parts = []
     for label, (df, key, ts) in tables.items():
-        try:
-            at = F.col(ts).cast("timestamp")
-            parts.append(
-                df.where((at > low) & (at <= high) & F.col(key).isNotNull()).select(
-                    F.col(key).cast("string").alias("delta_id")
-                )
+        missing = [c for c in (key, ts) if find_column(df, c) is None]
+        if missing:
+            log.warning("changed keys: %s skipped, it lacks %s", label, missing)
+            continue
+        at = F.col(ts).cast("timestamp")
+        parts.append(
+            df.where((at > low) & (at <= high) & F.col(key).isNotNull()).select(
+                F.col(key).cast("string").alias("delta_id")
             )
-        except AnalysisException as error:
-            log.warning("changed keys: %s skipped: %s", label, error)
+        )
     if not parts:
         raise ValueError("no table to look for changes in")
     out = parts[0]

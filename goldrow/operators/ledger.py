@@ -68,6 +68,16 @@ def assert_gate(ledger: DataFrame, stage: str, source: str, batch_id: int) -> No
         raise RuntimeError(f"batch {batch_id} is already {stage} complete")
 
 
+def gate_reason(stage: str) -> Column:
+    """The first earlier stage that is not 'Y', else 'done' or 'open'."""
+    own = STAGES.index(stage)
+    blocked = [
+        F.when(~F.col(f"{s}_status").eqNullSafe(F.lit("Y")), F.lit(s)) for s in STAGES[:own]
+    ]
+    state = F.when(F.col(f"{stage}_status") == "Y", "done").otherwise("open")
+    return F.coalesce(*blocked, state)
+
+
 def pending_window(pending: DataFrame) -> DataFrame:
     """AGG-01: earliest start and latest end over the pending batches."""
     return pending.agg(

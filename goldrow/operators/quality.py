@@ -179,7 +179,9 @@ def run_chain(
         passes = builder(lookups, require_column(df, rule.column))
         failures.append(F.when(~passes, F.lit(position)))
     flagged = lookups.df.withColumn(_FAILED, F.coalesce(*failures)).drop(*lookups.flags.values())
-    return DQResult(flagged, tuple(rules), tuple(df.columns), processed_at or F.current_timestamp())
+    if processed_at is None:
+        processed_at = F.current_timestamp()
+    return DQResult(flagged, tuple(rules), tuple(df.columns), processed_at)
 
 
 def split(

@@ -28,7 +28,7 @@ SALTS = 64
 
 def plan_bytes(df: DataFrame) -> int:
     """Optimizer size estimate; reads statistics only and runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:

@@ -43,14 +43,15 @@ def read_table(spark: SparkSession, database: str, table: str) -> DataFrame:
     return spark.read.table(f"{database}.{table}")
 
 
-def read_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
     """SRC-07: landed JSON documents as text rows.
 
     A document that is a list gives its items, one with a list under ``data`` gives
     those, any other is one row. Every value becomes text, null stays null, and nested
-    values become JSON text.
+    values become JSON text. A file is one document, or with ``per_line`` one per line.
     """
-    raw = spark.read.options(multiLine="true", primitivesAsString="true").json(path)
+    multi = "false" if per_line else "true"
+    raw = spark.read.options(multiLine=multi, primitivesAsString="true").json(path)
     parts = [raw]
     data = next((f.dataType for f in raw.schema if f.name == "data"), None)
     if isinstance(data, T.ArrayType) and isinstance(data.elementType, T.StructType):

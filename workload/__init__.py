@@ -1,0 +1,2 @@
+from workload import scalars, quality, batches
+from workload.base import REGISTRY, TABLES, Data
