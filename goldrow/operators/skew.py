@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Plans estimated below this size are joined plainly: one task can hold all of it.
+#: Two plans both estimated below this size are joined plainly: one task can hold them.
 SMALL_PLAN_BYTES = 256 * 1024 * 1024
 #: Most heavy keys treated; any key outside of them holds under 1/HEAVY_KEYS of the rows.
 HEAVY_KEYS = 1000
@@ -55,6 +55,14 @@ def _spread(df: DataFrame, n: Column) -> Column:
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), n).cast("int")
 
 
+def _plain_is_safe(left: DataFrame, right: DataFrame, how: str, small_bytes: int) -> bool:
+    """Both sides fit one task, or Spark will broadcast one by its own size check."""
+    l, r = plan_bytes(left), plan_bytes(right)
+    conf = left.sparkSession._jsparkSession.sessionState().conf()
+    limit = int(str(conf.autoBroadcastJoinThreshold())) if small_bytes > 0 else -1
+    return max(l, r) <= small_bytes or r <= limit or (how == "inner" and l <= limit)
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -70,7 +78,7 @@ def spread_join(
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
-    if min(plan_bytes(left), plan_bytes(right)) <= small_bytes:
+    if _plain_is_safe(left, right, how, small_bytes):
         return left.join(right, keys, how)
 
     # Size of the grid per heavy key: a ways across the left rows, b across the right.

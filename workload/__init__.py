@@ -1,2 +1,2 @@
-from workload import scalars, quality, batches
+from workload import scalars, quality, batches, marts
 from workload.base import REGISTRY, TABLES, Data
