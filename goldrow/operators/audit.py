@@ -59,12 +59,12 @@ def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def extraction_completeness(views: Mapping[str, tuple[DataFrame, Mapping[str, str]]]) -> DataFrame:
-    """AGG-10: per view the rows and the non-null values of named fields."""
+    """AGG-10: per view the rows and the non-null values per field (column -> report name)."""
 
     def one(df: DataFrame, fields: Mapping[str, str]) -> DataFrame:
         found = lambda c: F.sum(F.when(col(c).isNotNull(), 1).otherwise(0))
         return df.agg(
-            F.count(F.lit(1)).alias("total_rows"), *[found(c).alias(n) for n, c in fields.items()]
+            F.count(F.lit(1)).alias("total_rows"), *[found(c).alias(n) for c, n in fields.items()]
         )
 
     return _tagged({v: one(df, fields) for v, (df, fields) in views.items()}, "view_name")

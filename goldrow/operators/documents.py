@@ -581,6 +581,10 @@ def _reshape(source: Column, fields: Struct) -> dict[str, Column]:
     return out
 
 
+def _reshaper(fields: Struct) -> Callable[[Column], Column]:
+    return lambda element: _named(_reshape(element, fields))
+
+
 def download_schema() -> str:
     lists = [
         f"`{source}`: array<struct<{_read_schema(fields)}>>"
@@ -599,7 +603,7 @@ def reshape_download(df: DataFrame, document: str = "response_json") -> DataFram
     doc = F.col("_doc")
     fields = _reshape(doc, DOWNLOAD_FIELDS)
     for target, (source, spec) in DOWNLOAD_LISTS.items():
-        fields[target] = _list(doc[source], lambda e, spec=spec: _named(_reshape(e, spec)))
+        fields[target] = _list(doc[source], _reshaper(spec))
     meta = {m: _text(doc["_meta"][m]) for m in DOWNLOAD_META}
     meta["sourcePrimaryKey"] = _text(doc["X_third_party_id"])
     fields["_meta"] = _named(meta)

@@ -148,6 +148,34 @@ class DQResult:
             .withColumnRenamed(_FAILED, "execution_order")
         )
 
+    def rule_outcomes(self) -> DataFrame:
+        """Rows passing and failing each rule among those that reached it.
+
+        One aggregation: a row reached rule k if it failed no earlier one.
+        """
+        failed = F.col(_FAILED)
+        counts = [
+            c
+            for i in range(1, len(self.rules) + 1)
+            for c in (
+                F.count(F.when(failed.isNull() | (failed > i), 1)).alias(f"p{i}"),
+                F.count(F.when(failed == i, 1)).alias(f"r{i}"),
+            )
+        ]
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(i).alias("execution_order"),
+                    F.lit(r.rule).alias("rule_name"),
+                    F.lit(r.column).alias("column_name"),
+                    F.col(f"p{i}").alias("passed_count"),
+                    F.col(f"r{i}").alias("rejected_count"),
+                )
+                for i, r in enumerate(self.rules, 1)
+            ]
+        )
+        return self.flagged.agg(*counts).select(F.inline(rows))
+
     def totals(self) -> DataFrame:
         """AGG-05: passed and rejected rows."""
         return self.flagged.agg(

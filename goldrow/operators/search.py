@@ -7,7 +7,7 @@ is gathered into one row.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,6 +56,11 @@ def _value_error(v: Column, path: Column) -> Column:
     )
 
 
+def _at_rest(rest: str) -> Callable[[Column, Column], Column]:
+    """List element -> its position and the value it holds under the rest of a path."""
+    return lambda x, i: F.struct(i.alias("i"), _variant(x, rest).alias("v"))
+
+
 def _mandatory(doc: Column, field: str) -> Column:
     """Findings of one mandatory field.
 
@@ -83,12 +88,7 @@ def _mandatory(doc: Column, field: str) -> Column:
     for depth in range(1, len(parts)):
         rest = step_path(*parts[depth:])
         nested = F.try_variant_get(doc, step_path(*parts[:depth]), "array<variant>")
-        holding = F.filter(
-            F.transform(
-                nested, lambda x, i, rest=rest: F.struct(i.alias("i"), _variant(x, rest).alias("v"))
-            ),
-            lambda e: e["v"].isNotNull(),
-        )
+        holding = F.filter(F.transform(nested, _at_rest(rest)), lambda e: e["v"].isNotNull())
         checked = F.filter(
             F.transform(holding, lambda e: _value_error(e["v"], at(e["i"]))),
             lambda e: e.isNotNull(),

@@ -1,2 +1,2 @@
-from workload import scalars, quality, batches, marts
+from workload import scalars, quality, batches, marts, audits, documents, search
 from workload.base import REGISTRY, TABLES, Data
