@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrow.operators.schema import col, quoted
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, spread_join
+from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, mark_known, spread_join
 
 
 def _tagged(parts: Mapping[str, DataFrame], tag: str = "table_name") -> DataFrame:
@@ -259,9 +259,10 @@ def stuck_batches(ledger: DataFrame, now: Column, hours: int = 6) -> DataFrame:
     )
 
 
-def missing_keys(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """JON-14: rows of ``left`` whose key is not in ``right``."""
-    return left.join(right.select(key), key, "left_anti")
+def missing_keys(left: DataFrame, right: DataFrame, key: str, **options) -> DataFrame:
+    """JON-14: rows of ``left`` whose key is not in ``right``; a null key is not."""
+    marked = mark_known(left, right, [key], "_known", **options)
+    return marked.where(~F.col("_known")).select(*left.columns)
 
 
 def key_overlap(pairs: Mapping[str, tuple[DataFrame, DataFrame, str]]) -> DataFrame:

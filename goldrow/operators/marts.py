@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldrow.functions.jsontext import parsed, variant_text
 from goldrow.operators.schema import rename
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, spread_join
+from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, left_join_all
 from goldrow.plans import catalog
 from goldrow.plans.specs import Col, Json, Null
 
@@ -56,11 +56,14 @@ def _consolidate(
         own = [(s, t) for v, s, t in columns if v == view]
         return rename(views[view], [(KEY, KEY), *own])
 
-    out = side(anchor)
-    for view in dict.fromkeys(v for v, _, _ in columns if v != anchor):
-        out = spread_join(
-            out, side(view), [KEY], "left", heavy_rows=heavy_rows, small_bytes=small_bytes
-        )
+    others = dict.fromkeys(v for v, _, _ in columns if v != anchor)
+    out = left_join_all(
+        side(anchor),
+        [side(v) for v in others],
+        [KEY],
+        heavy_rows=heavy_rows,
+        small_bytes=small_bytes,
+    )
     return out.select(KEY, *[t for _, _, t in columns])
 
 

@@ -8,16 +8,17 @@ the reject trail derive from that flagged frame (JON-01..10, AGG-04, AGG-05, LOG
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrow.functions.predicates import non_blank
 from goldrow.operators.schema import col, find_column, require_column, union_filled
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, spread_join
+from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, mark_known
 from goldrow.plans.catalog import DQ_COLUMNS, PARENT_KEY_CANDIDATES, REFERENCE_TABLE, rules_for
 from goldrow.plans.specs import DQRule
+from goldrow.session import write_through
 
 _FAILED = "_dq_failed"
 
@@ -37,26 +38,26 @@ class _Lookups:
 
     df: DataFrame
     reference: DataFrame | None
-    join_options: dict = field(default_factory=dict)
+    options: dict = field(default_factory=dict)
     flags: dict[tuple[str, str], str] = field(default_factory=dict)
 
+    def __post_init__(self) -> None:
+        self.source = self.df
+
     def hit(self, own: str, reference_column: str) -> Column:
         flag = self.flags.get((own, reference_column))
         if flag is None:
             flag = f"_dq_hit_{len(self.flags)}"
             self.flags[own, reference_column] = flag
             key = col(reference_column)
-            keys = (
-                self.reference.where(non_blank(key))
-                .select(key.alias("_dq_key"))
-                .distinct()
-                .withColumn(flag, F.lit(True))
-            )
+            keys = self.reference.where(non_blank(key)).select(key.alias("_dq_key"))
             probe = self.df.withColumn("_dq_key", col(own))
-            self.df = spread_join(probe, keys, ["_dq_key"], "left", **self.join_options).drop(
-                "_dq_key"
-            )
-        return F.coalesce(F.col(flag), F.lit(False))
+            # Lookups keep the number of rows, so heavy keys are counted on the input.
+            source = self.source.select(col(own).alias("_dq_key"))
+            self.df = mark_known(
+                probe, keys, ["_dq_key"], flag, left_source=source, **self.options
+            ).drop("_dq_key")
+        return F.col(flag)
 
 
 RuleBuilder = Callable[[_Lookups, str], Column]
@@ -87,13 +88,21 @@ RULES: dict[str, RuleBuilder] = {
 
 @dataclass(frozen=True)
 class DQResult:
-    """Outcome of a rule chain. ``flagged`` holds every input row once."""
+    """Outcome of a rule chain. ``flagged`` holds every input row once.
+
+    Each property and report is lazy and evaluates ``flagged``; where several are used on
+    a large table, call ``written`` first so that the rules run once.
+    """
 
     flagged: DataFrame
     rules: tuple[DQRule, ...]
     columns: tuple[str, ...]
     processed_at: Column
 
+    def written(self) -> DQResult:
+        """The same outcome read from a table written once to the shared folder."""
+        return replace(self, flagged=write_through(self.flagged, "dq"))
+
     def _stamped(self, rows: DataFrame, status: str, rule: Column) -> DataFrame:
         def lookup(attribute: str) -> Column:
             values = F.array(*[F.lit(getattr(r, attribute)) for r in self.rules])

@@ -14,7 +14,14 @@ from pyspark.sql import functions as F
 
 from goldrow.functions.jsontext import parsed, step_path, variant_text
 from goldrow.operators.documents import PRIMARY_SCHEMA, record_score
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, spread_join
+from goldrow.operators.skew import (
+    HEAVY_ROWS,
+    SMALL_PLAN_BYTES,
+    mark_known,
+    plan_bytes,
+    spread_join,
+)
+from goldrow.session import write_through
 
 ERRORS = "array<struct<field_path: string, error_type: string, message: string>>"
 
@@ -394,12 +401,15 @@ def drop_known(
     small_bytes: int = SMALL_PLAN_BYTES,
 ) -> DataFrame:
     """JON-18: secondary records whose id the request's primary records do not list."""
-    keys = ["request_id", "record_id"]
-    marked = known.select(*keys).distinct().withColumn("_known", F.lit(True))
-    joined = spread_join(
-        secondary, marked, keys, "left", heavy_rows=heavy_rows, small_bytes=small_bytes
+    marked = mark_known(
+        secondary,
+        known,
+        ["request_id", "record_id"],
+        "_known",
+        heavy_rows=heavy_rows,
+        small_bytes=small_bytes,
     )
-    return joined.where(F.col("_known").isNull()).select(*secondary.columns)
+    return marked.where(~F.col("_known")).select(*secondary.columns)
 
 
 def result_counts(records: DataFrame) -> DataFrame:
@@ -433,12 +443,19 @@ def include_secondary(
     asked = requests.select(
         "request_id", F.coalesce("search_secondary", F.lit(False)).alias("_asked")
     )
-    flags = spread_join(asked, high_score(primary, threshold), ["request_id"], "left", **options)
-    known = known_secondary_ids(primary).distinct().withColumn("_known", F.lit(True))
-    rows = spread_join(secondary, flags, ["request_id"], "inner", **options)
-    rows = spread_join(rows, known, ["request_id", "record_id"], "left", **options)
+    # One row per request on both sides, and then one row per request against records.
+    flags = asked.join(high_score(primary, threshold), "request_id", "left")
+    rows = spread_join(secondary, flags, ["request_id"], "inner", right_heavy=(), **options)
+    rows = mark_known(
+        rows,
+        known_secondary_ids(primary),
+        ["request_id", "record_id"],
+        "_known",
+        left_source=secondary,
+        **options,
+    )
     high = F.coalesce("has_high_score", F.lit(False))
-    keep = F.when(F.col("_asked"), F.col("_known").isNull()).otherwise(~high)
+    keep = F.when(F.col("_asked"), ~F.col("_known")).otherwise(~high)
     return rows.where(keep).select(*secondary.columns)
 
 
@@ -460,9 +477,17 @@ def combine(
         .select(*columns)
         .unionByName(secondary.withColumn("source_order", F.lit(2)).select(*columns))
     )
-    totals = result_counts(both)
+    if plan_bytes(both) > small_bytes:
+        # Read three times below; computed once.
+        both = write_through(both, "answer")
     return spread_join(
-        both, totals, ["request_id"], "inner", heavy_rows=heavy_rows, small_bytes=small_bytes
+        both,
+        result_counts(both),
+        ["request_id"],
+        "inner",
+        heavy_rows=heavy_rows,
+        small_bytes=small_bytes,
+        right_heavy=(),
     )
 
 

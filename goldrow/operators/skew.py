@@ -2,9 +2,12 @@
 
 Adaptive execution splits a skewed shuffle join only where both inputs come straight
 from a shuffle and the skewed side may be split for that join type. A join against
-distinct keys, or an outer join whose inner side is skewed, is outside of that. Here
-the heavy keys are found by an exact, map-side combined count and only their rows are
-spread over a grid of salts; every other row joins on its plain key.
+distinct keys, an outer join whose inner side is skewed, or the second of two joins on
+one key is outside of that.
+
+Here the heavy keys are found first, by an exact count of the key columns that is
+combined on the map side. If there are none, the join is a plain one. Otherwise only the
+heavy keys' rows are spread over a grid of salts; all other rows join on their key.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ SMALL_PLAN_BYTES = 256 * 1024 * 1024
 #: Most heavy keys treated; any key outside of them holds under 1/HEAVY_KEYS of the rows.
 HEAVY_KEYS = 1000
 #: A key must have this many rows to be worth spreading.
-HEAVY_ROWS = 100_000
+HEAVY_ROWS = 1_000_000
 #: Salts a heavy side is spread over.
 SALTS = 64
 
@@ -31,10 +34,18 @@ def plan_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> DataFrame:
-    """The at most ``HEAVY_KEYS`` most frequent key values with at least ``rows`` rows."""
+def _broadcast_limit(df: DataFrame) -> int:
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return int(str(conf.autoBroadcastJoinThreshold()))
+
+
+def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> list[tuple]:
+    """The at most ``HEAVY_KEYS`` most frequent key values with at least ``rows`` rows.
+
+    This bounded list is all that reaches the driver.
+    """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    return (
+    counted = (
         df.where(known)
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
@@ -42,6 +53,15 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> Da
         .orderBy(F.desc("_rows"), *keys)
         .limit(HEAVY_KEYS)
     )
+    return [tuple(r) for r in counted.drop("_rows").collect()]
+
+
+def key_frame(df: DataFrame, keys: Sequence[str], values: Sequence[tuple], extra: str = ""):
+    """A small frame of key values (with more columns described by ``extra``)."""
+    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys])
+    if extra:
+        schema = T.StructType(schema.fields + T._parse_datatype_string(extra).fields)
+    return df.sparkSession.createDataFrame(list(values), schema)
 
 
 def _spread(df: DataFrame, n: Column) -> Column:
@@ -55,47 +75,58 @@ def _spread(df: DataFrame, n: Column) -> Column:
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), n).cast("int")
 
 
-def _plain_is_safe(left: DataFrame, right: DataFrame, how: str, small_bytes: int) -> bool:
-    """Both sides fit one task, or Spark will broadcast one by its own size check."""
-    l, r = plan_bytes(left), plan_bytes(right)
-    conf = left.sparkSession._jsparkSession.sessionState().conf()
-    limit = int(str(conf.autoBroadcastJoinThreshold())) if small_bytes > 0 else -1
-    return max(l, r) <= small_bytes or r <= limit or (how == "inner" and l <= limit)
-
-
 def spread_join(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     how: str = "left",
+    *,
     heavy_rows: int = HEAVY_ROWS,
     small_bytes: int = SMALL_PLAN_BYTES,
+    left_source: DataFrame | None = None,
+    left_heavy: Sequence[tuple] | None = None,
+    right_heavy: Sequence[tuple] | None = None,
 ) -> DataFrame:
     """Equi-join on same-named ``keys`` ('left' or 'inner') safe against heavy keys.
 
-    Same rows as ``left.join(right, keys, how)``, column order included.
+    Same rows and columns as ``left.join(right, keys, how)`` with the left columns first.
+    Heavy keys are counted on ``left_source`` where it has the left keys with fewer steps
+    behind it; a side whose heavy keys are known, or that is unique, is not counted.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
-    if _plain_is_safe(left, right, how, small_bytes):
-        return left.join(right, keys, how)
+    l_columns, r_columns = left.columns, [c for c in right.columns if c not in keys]
 
-    # Size of the grid per heavy key: a ways across the left rows, b across the right.
-    left_heavy = heavy_keys(left, keys, heavy_rows).withColumnRenamed("_rows", "_l")
-    right_heavy = heavy_keys(right, keys, heavy_rows).withColumnRenamed("_rows", "_r")
-    grid = left_heavy.join(right_heavy, keys, "full").select(
-        *keys,
-        F.when(F.col("_l").isNotNull(), F.lit(SALTS)).otherwise(F.lit(1)).alias("_an"),
-        F.when(F.col("_r").isNotNull(), F.lit(SALTS)).otherwise(F.lit(1)).alias("_bn"),
-    )
-    # At most 2 * HEAVY_KEYS rows, so the broadcast has a fixed bound.
-    grid = F.broadcast(grid)
+    def plain() -> DataFrame:
+        return left.join(right, keys, how).select(*l_columns, *r_columns)
+
+    # Fits one task, or Spark will broadcast a side by its own size check.
+    if small_bytes > 0:
+        r, limit = plan_bytes(right), _broadcast_limit(left)
+        if r <= limit:
+            return plain()
+        l = plan_bytes(left)
+        if max(l, r) <= small_bytes or (how == "inner" and l <= limit):
+            return plain()
+
+    if left_heavy is None:
+        left_heavy = heavy_keys(left if left_source is None else left_source, keys, heavy_rows)
+    if right_heavy is None:
+        right_heavy = heavy_keys(right, keys, heavy_rows)
+    if not left_heavy and not right_heavy:
+        return plain()
+
+    # Grid per heavy key: _an ways across the left rows, _bn across the right ones.
+    wide_left, wide_right = set(left_heavy), set(right_heavy)
+    sizes = [
+        (*k, SALTS if k in wide_left else 1, SALTS if k in wide_right else 1)
+        for k in dict.fromkeys([*left_heavy, *right_heavy])
+    ]
+    grid = F.broadcast(key_frame(left, keys, sizes, "_an int, _bn int"))
 
     one = F.lit(1)
-    l_columns, r_columns = left.columns, [c for c in right.columns if c not in keys]
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
     l = left.join(grid, keys, "left").select(
         *l_columns,
         F.when(null_key, _spread(left, F.lit(SALTS)))
@@ -121,3 +152,54 @@ def spread_join(
         # hold it, so another copy of the row did match.
         joined = joined.where(F.col("_hit") | (F.col("_copies") == 1))
     return joined.select(*l_columns, *r_columns)
+
+
+def mark_known(
+    df: DataFrame, known: DataFrame, keys: Sequence[str], flag: str, **options
+) -> DataFrame:
+    """Add boolean ``flag``: whether the row's key occurs in ``known``.
+
+    The known keys are made distinct, on the map side first, so rows are never doubled.
+    """
+    marked = known.select(*keys).distinct().withColumn(flag, F.lit(True))
+    joined = spread_join(df, marked, keys, "left", right_heavy=(), **options)
+    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def left_join_all(
+    anchor: DataFrame,
+    others: Sequence[DataFrame],
+    keys: Sequence[str],
+    *,
+    heavy_rows: int = HEAVY_ROWS,
+    small_bytes: int = SMALL_PLAN_BYTES,
+) -> DataFrame:
+    """Left-join many tables onto one by the same keys.
+
+    Rows of ordinary keys take plain joins: every table is shuffled once and all joins
+    run where the rows already are. Only rows of heavy keys, of whichever table, leave
+    that path and are joined spread out.
+    """
+    keys = list(keys)
+    tables = [anchor, *others]
+
+    def plain(frames: Sequence[DataFrame]) -> DataFrame:
+        return reduce(lambda l, r: l.join(r, keys, "left"), frames)
+
+    if small_bytes > 0 and all(plan_bytes(t) <= small_bytes for t in tables):
+        return plain(tables)
+    heavy = [heavy_keys(t, keys, heavy_rows) for t in tables]
+    every = list(dict.fromkeys(k for found in heavy for k in found))
+    if not every:
+        return plain(tables)
+
+    hot = F.broadcast(key_frame(anchor, keys, every))
+    cold = plain([t.join(hot, keys, "left_anti") for t in tables])
+    out, seen = anchor.join(hot, keys, "left_semi"), list(heavy[0])
+    for table, found in zip(others, heavy[1:], strict=True):
+        rows = table.join(hot, keys, "left_semi")
+        out = spread_join(
+            out, rows, keys, "left", small_bytes=0, left_heavy=seen, right_heavy=found
+        )
+        seen = list(dict.fromkeys([*seen, *found]))
+    return cold.select(*out.columns).unionByName(out)

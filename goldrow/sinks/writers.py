@@ -46,10 +46,14 @@ def _sized(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
 def write_table(
     df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ("batch_id",)
 ) -> int:
-    """SNK-01: append or overwrite; an empty input writes nothing. Returns rows written."""
+    """SNK-01: append or overwrite; an empty input writes nothing. Returns rows written.
+
+    Only an overwrite of an existing table looks first whether there are rows; appending
+    none changes nothing anyway, so there the plan runs once.
+    """
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported write mode: {mode}")
-    if df.isEmpty():
+    if mode == "overwrite" and exists(df.sparkSession, path) and df.isEmpty():
         return 0
     seen = Observation()
     partitions = [require_column(df, p) for p in partition_by]

@@ -1,2 +1,19 @@
-from workload import scalars, quality, batches, marts, audits, documents, search
+"""Registered queries over the given tables, each with its oracle SQL where SQL can say it."""
+
+from workload import audits, batches, documents, marts, quality, scalars, search, sinks, sources
 from workload.base import REGISTRY, TABLES, Data
+
+__all__ = [
+    "REGISTRY",
+    "TABLES",
+    "Data",
+    "audits",
+    "batches",
+    "documents",
+    "marts",
+    "quality",
+    "scalars",
+    "search",
+    "sinks",
+    "sources",
+]
