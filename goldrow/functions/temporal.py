@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+from functools import reduce
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,6 +17,25 @@ TIMESTAMP_FORMATS = (
 )
 
 
+def _fixed_characters(layout: str) -> list[str]:
+    """Characters every text in this layout holds: separators and quoted letters."""
+    quoted = re.findall(r"'([^']*)'", layout)
+    plain = re.sub(r"'[^']*'|[A-Za-z]", "", layout)
+    return sorted(set(plain) | set("".join(quoted)))
+
+
 def parse_timestamp(c: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
-    """First layout that parses; null when none does (never an ANSI error)."""
-    return F.coalesce(*[F.try_to_timestamp(c, F.lit(f)) for f in formats])
+    """First layout that parses; null when none does (never an ANSI error).
+
+    A failing parse costs an exception inside the parser, many times a search for a
+    character. So a layout is tried only on texts that hold all its fixed characters;
+    the others could not match it.
+    """
+
+    def attempt(layout: str) -> Column:
+        possible = reduce(
+            lambda a, b: a & b, [F.contains(c, F.lit(x)) for x in _fixed_characters(layout)]
+        )
+        return F.when(possible, F.try_to_timestamp(c, F.lit(layout)))
+
+    return F.coalesce(*[attempt(f) for f in formats])

@@ -11,6 +11,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from goldrow.operators.schema import unnest
+
 Struct = Mapping[str, object]
 
 
@@ -644,9 +646,7 @@ def split_children(
     """
     out = {parent: df.select(f"{parent}.*")}
     for name in lists:
-        rows = df.select(
-            F.col(f"{parent}.{key}").alias(key), F.posexplode(name).alias("position", "_child")
-        )
+        rows = unnest(df, [F.col(f"{parent}.{key}").alias(key)], name, "_child")
         fields = [f for f in rows.schema["_child"].dataType.names if f.lower() != key.lower()]
         out[name] = rows.select(key, "position", *[F.col(f"_child.`{f}`") for f in fields])
     return out

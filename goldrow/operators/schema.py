@@ -127,3 +127,16 @@ def rename(df: DataFrame, pairs: Mapping[str, str] | Iterable[tuple[str, str]])
     """Select source columns under target names; a source may appear twice."""
     items = pairs.items() if isinstance(pairs, Mapping) else pairs
     return df.select(*[col(source).alias(target) for source, target in items])
+
+
+def unnest(
+    df: DataFrame, keep: Iterable[str | Column], array: str | Column, element: str = "record"
+) -> DataFrame:
+    """One row per array element, with its ``position``; rows without elements vanish.
+
+    Spark guards a plain explode by a filter on the array's size and moves it below the
+    projection that computes the array, which then runs twice. The outer form has no such
+    filter; its placeholder rows are dropped afterwards.
+    """
+    rows = df.select(*keep, F.posexplode_outer(array).alias("position", element))
+    return rows.where(F.col("position").isNotNull())

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from goldrow.functions.jsontext import parsed, step_path, variant_text
 from goldrow.operators.documents import PRIMARY_SCHEMA, record_score
+from goldrow.operators.schema import unnest
 from goldrow.operators.skew import (
     HEAVY_ROWS,
     SMALL_PLAN_BYTES,
@@ -68,39 +69,47 @@ def _at_rest(rest: str) -> Callable[[Column, Column], Column]:
     return lambda x, i: F.struct(i.alias("i"), _variant(x, rest).alias("v"))
 
 
-def _mandatory(doc: Column, field: str) -> Column:
-    """Findings of one mandatory field.
+def _field_values(doc: Column, field: str, number: int) -> dict[str, Column]:
+    """Columns holding what a mandatory field resolves to.
 
-    The field may be a key of that very name, a path through objects, or a path that
-    meets a list on its way; then every element holding the rest of it is checked.
+    ``_v`` is the value under the field's own name or at the end of its path. ``_l`` are
+    the elements, with their positions, of a list the path meets on its way; no document
+    has a list at two of the depths at once.
     """
     parts = field.split(".")
+    value = F.coalesce(_variant(doc, step_path(field)), _variant(doc, step_path(*parts)))
+    lists = [
+        F.transform(
+            F.try_variant_get(doc, step_path(*parts[:depth]), "array<variant>"),
+            _at_rest(step_path(*parts[depth:])),
+        )
+        for depth in range(1, len(parts))
+    ]
+    nested = F.filter(F.coalesce(*lists), lambda e: e["v"].isNotNull()) if lists else None
+    return {f"_v{number}": value} | ({} if nested is None else {f"_l{number}": nested})
+
+
+def _mandatory(field: str, value: Column, nested: Column | None) -> Column:
+    """Findings of one mandatory field, from the columns above."""
     at = lambda i: F.concat(F.lit(f"{field}["), i.cast("string"), F.lit("]"))
 
-    value = F.coalesce(_variant(doc, step_path(field)), _variant(doc, step_path(*parts)))
+    def found_in(items: Column, check: Callable) -> Column:
+        return F.filter(F.transform(items, check), lambda e: e.isNotNull()).cast(ERRORS)
+
     items = F.try_variant_get(value, "$", "array<variant>")
     empty = _error(field, "NULL", f"Null value for mandatory field: {field}")
     of_list = F.concat(
         F.when(F.size(items) == 0, F.array(empty).cast(ERRORS)).otherwise(_none()),
-        F.filter(
-            F.transform(items, lambda x, i: _value_error(x, at(i))), lambda e: e.isNotNull()
-        ).cast(ERRORS),
+        found_in(items, lambda x, i: _value_error(x, at(i))),
     )
     found = F.when(_is(value, "ARRAY"), of_list).otherwise(
         _present([_value_error(value, F.lit(field))])
     )
-
     missing = F.array(_error(field, "MISSING", f"Missing mandatory field: {field}")).cast(ERRORS)
     out = F.when(value.isNotNull(), found)
-    for depth in range(1, len(parts)):
-        rest = step_path(*parts[depth:])
-        nested = F.try_variant_get(doc, step_path(*parts[:depth]), "array<variant>")
-        holding = F.filter(F.transform(nested, _at_rest(rest)), lambda e: e["v"].isNotNull())
-        checked = F.filter(
-            F.transform(holding, lambda e: _value_error(e["v"], at(e["i"]))),
-            lambda e: e.isNotNull(),
-        ).cast(ERRORS)
-        out = out.when(F.size(holding) > 0, checked)
+    if nested is not None:
+        checked = found_in(nested, lambda e: _value_error(e["v"], at(e["i"])))
+        out = out.when(F.size(nested) > 0, checked)
     return out.otherwise(missing)
 
 
@@ -114,7 +123,11 @@ def _plain(doc: Column, key: str) -> Column:
 def validate_search(
     requests: DataFrame, mandatory: Sequence[str], payload: str = "payload"
 ) -> DataFrame:
-    """SBC-01: add ``errors``; a request is valid iff the array is empty."""
+    """SBC-01: add ``errors``; a request is valid iff the array is empty.
+
+    A mandatory field may be a key of that very name, a path through objects, or a path
+    that meets a list on its way; then every element holding the rest of it is checked.
+    """
     doc = F.col("_doc")
     entity, email = _plain(doc, "mdmEntityType"), _plain(doc, "hcp.email")
     specialty = _variant(doc, step_path("hcp.specialty"))
@@ -143,11 +156,20 @@ def validate_search(
             _error("hcp.email", "INVALID_FORMAT", "hcp.email must be a valid email address"),
         ),
     ]
-    errors = F.concat(*[_mandatory(doc, f) for f in mandatory], _present(general))
+    values = {
+        name: c
+        for number, field in enumerate(mandatory)
+        for name, c in _field_values(doc, field, number).items()
+    }
+    per_field = [
+        _mandatory(f, F.col(f"_v{n}"), F.col(f"_l{n}") if f"_l{n}" in values else None)
+        for n, f in enumerate(mandatory)
+    ]
     return (
         requests.withColumn("_doc", parsed(F.col(payload)))
-        .withColumn("errors", errors)
-        .drop("_doc")
+        .withColumns(values)
+        .withColumn("errors", F.concat(*per_field, _present(general)))
+        .drop("_doc", *values)
     )
 
 
@@ -357,6 +379,11 @@ def primary_request(requests: DataFrame, payload: str = "payload") -> DataFrame:
     )
 
 
+def error_rows(checked: DataFrame, *keep: str) -> DataFrame:
+    """Findings of a validation, one per row."""
+    return unnest(checked, keep, "errors", "_error").select(*keep, "_error.*")
+
+
 # ---------------------------------------------------------------- result records
 
 KNOWN_ID_TYPE = "IQVIA ID"  # Fixed value: identifier type naming a secondary record.
@@ -365,7 +392,7 @@ KNOWN_ID_TYPE = "IQVIA ID"  # Fixed value: identifier type naming a secondary re
 def primary_rows(responses: DataFrame, document: str = "response_json") -> DataFrame:
     """Raw primary records as rows: request_id, position, score, record (struct)."""
     records = F.from_json(document, PRIMARY_SCHEMA)["searchResult"]["records"]
-    rows = responses.select("request_id", F.posexplode(records).alias("position", "record"))
+    rows = unnest(responses, ["request_id"], records)
     return rows.where(F.col("record").isNotNull()).withColumn("score", record_score(F.col("record")))
 
 
@@ -373,9 +400,10 @@ def secondary_rows(responses: DataFrame, document: str = "response_json") -> Dat
     """Raw secondary records as rows: request_id, position, record_id, record (JSON text)."""
     schema = "response struct<results: array<string>>"
     results = F.from_json(document, schema)["response"]["results"]
-    return responses.select(
-        "request_id", F.posexplode(results).alias("position", "record")
-    ).withColumn("record_id", F.get_json_object("record", "$.individual.individualEid"))
+    rows = unnest(responses, ["request_id"], results)
+    return rows.withColumn(
+        "record_id", F.get_json_object("record", "$.individual.individualEid")
+    )
 
 
 def known_secondary_ids(primary: DataFrame) -> DataFrame:
@@ -383,9 +411,8 @@ def known_secondary_ids(primary: DataFrame) -> DataFrame:
 
     Here the identifier type is its code.
     """
-    listed = primary.select(
-        "request_id", F.explode("record.data.AlternateIdentifier").alias("identifier")
-    )
+    identifiers = F.col("record.data.AlternateIdentifier")
+    listed = unnest(primary, ["request_id"], identifiers, "identifier")
     kind = F.upper(F.trim(F.col("identifier.alternateIdentifierType.Code")))
     value = F.col("identifier.alternateIdentifierValue")
     return listed.where((kind == KNOWN_ID_TYPE) & (value != "")).select(

@@ -50,3 +50,13 @@ def write_through(df: DataFrame, label: str) -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Give a plain scan at least one partition per core, for costly work per row.
+
+    A few files with few row groups would keep most cores idle. A scan that already has
+    as many partitions, as any large one has, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)

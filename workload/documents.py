@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from goldrow.operators import documents
+from goldrow.operators.schema import unnest
+from goldrow.session import spread_scan
 from workload.base import Data, query
 
 LINES = "split(text, '\\n')"
@@ -16,7 +18,7 @@ LINES_SQL = """WITH lines AS (SELECT doc_id AS request_id, lang, source, x,
 
 
 def built(data: Data, *expressions: str) -> DataFrame:
-    return data["documents"].selectExpr("doc_id AS request_id", "lang", "source", *expressions)
+    return spread_scan(data["documents"]).selectExpr("doc_id AS request_id", "lang", "source", *expressions)
 
 
 # Records without a score count as 0; identifiers of long lines with a comma are known ids.
@@ -54,7 +56,7 @@ def primary_responses(data: Data) -> DataFrame:
 )
 def doc_06(data: Data) -> DataFrame:
     rows = documents.normalize_primary(primary_responses(data), 40)
-    rows = rows.select("request_id", "total_records", F.posexplode("records").alias("position", "r"))
+    rows = unnest(rows, ["request_id", "total_records"], "records", "r")
     address, identifier = F.col("r.HCP Address")[0], F.col("r.AlternateIdentifier")[0]
     return rows.select(
         "request_id",
@@ -101,7 +103,7 @@ SECONDARY_JSON = f"""to_json(named_struct('response', named_struct('results', tr
 )
 def doc_05(data: Data) -> DataFrame:
     rows = documents.normalize_secondary(built(data, f"{SECONDARY_JSON} AS response_json"))
-    rows = rows.select("request_id", "total_records", F.posexplode("records").alias("position", "r"))
+    rows = unnest(rows, ["request_id", "total_records"], "records", "r")
     first, second = F.col("r.HCP Address")[0], F.col("r.HCP Address")[1]
     country = first["Country"]
     return rows.select(
@@ -170,7 +172,7 @@ def posted(data: Data) -> DataFrame:
     FROM kept CROSS JOIN (VALUES (0), (1)) AS t(k)""",
 )
 def doc_07_addresses(data: Data) -> DataFrame:
-    rows = posted(data).select("request_id", F.posexplode("post.X_hcp_address").alias("position", "a"))
+    rows = unnest(posted(data), ["request_id"], "post.X_hcp_address", "a")
     return rows.select(
         "request_id",
         "position",
@@ -250,7 +252,7 @@ DOWNLOAD_JSON = f"""to_json(named_struct('firstName', source, 'lastName', lang,
 )
 def doc_08_phones(data: Data) -> DataFrame:
     docs = documents.reshape_download(built(data, f"{DOWNLOAD_JSON} AS response_json"))
-    rows = docs.select("request_id", F.posexplode("body.Phone").alias("position", "p"))
+    rows = unnest(docs, ["request_id"], "body.Phone", "p")
     return rows.select(
         "request_id",
         "position",

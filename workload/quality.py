@@ -13,7 +13,12 @@ from goldrow.plans.specs import DQRule
 from workload.base import Data, derive, query
 from workload.scalars import _RULED_COLUMNS, PERSON_RULES
 
-NOW = F.lit("2024-01-31").cast("timestamp")
+
+
+def now():
+    return F.lit("2024-01-31").cast("timestamp")
+
+
 RUN = datetime(2024, 1, 31)
 
 
@@ -107,7 +112,7 @@ _CHAIN_SQL = f"""WITH {derive("hcp_name", "dirty_address")}, chained AS (SELECT
 
 def address_chain(data: Data) -> quality.DQResult:
     return quality.run_chain(
-        data["dirty_address"], ADDRESS_CHAIN, data["hcp_name"], processed_at=NOW
+        data["dirty_address"], ADDRESS_CHAIN, data["hcp_name"], processed_at=now()
     )
 
 
@@ -161,7 +166,7 @@ def jon_08(data: Data) -> DataFrame:
         "rule_description string, rule_status string, active_flag boolean, execution_order int",
     )
     rules = quality.resolve_rules("hcp_address", config, "ADDR", "crm_a")
-    result = quality.run_chain(data["dirty_address"], rules, processed_at=NOW)
+    result = quality.run_chain(data["dirty_address"], rules, processed_at=now())
     return result.rejected.select("order_id", F.col("DQ_APPL_COLUMN").alias("failed_on"))
 
 
@@ -191,7 +196,7 @@ def _sweep_sql() -> str:
 @query("jon_09_sweep", _sweep_sql())
 def jon_09(data: Data) -> DataFrame:
     tables = {r.table: data[r.table] for r in DQ_RULES if r.table != "hco_hco_hierarchy"}
-    results, _ = quality.sweep(tables, processed_at=NOW)
+    results, _ = quality.sweep(tables, processed_at=now())
     return quality.sweep_summary(results)
 
 
@@ -212,7 +217,7 @@ def jon_10(data: Data) -> DataFrame:
         batch_id=20240131,
         source_system="CRM_A",
         table="hcp_address",
-        rejected_at=NOW,
+        rejected_at=now(),
     )
     return trail.withColumn("rejected_at", F.col("rejected_at").cast("string"))
 
@@ -240,8 +245,8 @@ def address_log(data: Data) -> DataFrame:
         source_identifier="addr",
         source_system="CRM_A",
         table="hcp_address",
-        started=NOW,
-        ended=NOW + F.expr("INTERVAL 5 SECONDS"),
+        started=now(),
+        ended=now() + F.expr("INTERVAL 5 SECONDS"),
     )
 
 
@@ -284,7 +289,7 @@ def flagship(data: Data) -> quality.DQResult:
     landed = standardize.standardize(raw, PERSON_RULES)
     latest = dedup.latest_per_key(landed, "iqvia_id")
     return quality.run_chain(
-        latest, rules_for("hcp_name"), data["dirty_address"], processed_at=NOW
+        latest, rules_for("hcp_name"), data["dirty_address"], processed_at=now()
     )
 
 

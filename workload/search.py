@@ -67,7 +67,7 @@ _NULL, _BLANK = "Null value for mandatory field: ", "Blank value for mandatory f
 )
 def sbc_01(data: Data) -> DataFrame:
     checked = search.validate_search(requests(data), MANDATORY)
-    return checked.select("request_id", F.inline("errors"))
+    return search.error_rows(checked, "request_id")
 
 
 LOOKUP = """'{"mdmEntityType":"' || CASE lang WHEN 'en' THEN 'hcp' WHEN 'fr' THEN ' HCO ' WHEN 'de'
@@ -92,7 +92,7 @@ LOOKUP = """'{"mdmEntityType":"' || CASE lang WHEN 'en' THEN 'hcp' WHEN 'fr' THE
 )
 def sbc_02(data: Data) -> DataFrame:
     checked = search.validate_lookup(built(data, f"{LOOKUP} AS payload"))
-    return checked.select("request_id", F.inline("errors"))
+    return search.error_rows(checked, "request_id")
 
 
 @query(
