@@ -106,10 +106,12 @@ def load_raw(
     *,
     load_type: str,
     partition_by: Sequence[str] = ("Source_Name", "BATCH_ID"),
+    emptied: Iterable[Sequence[object]] = (),
 ) -> int:
     """SNK-03..06: first load all text; later loads shaped like the target.
 
-    Only a ``delta`` load replaces its own earlier batch of the same source.
+    Only a ``delta`` load replaces its own earlier batch of the same source, and drops
+    the partitions named in ``emptied``.
     """
     spark = df.sparkSession
     if not exists(spark, path):
@@ -117,7 +119,7 @@ def load_raw(
     target = spark.read.parquet(path).schema
     shaped = align(df, target)
     if load_type == "delta":
-        return replace_batches(shaped, path, partition_by)
+        return replace_batches(shaped, path, partition_by, emptied)
     return write_table(shaped, path, write_mode(True, load_type), partition_by)
 
 
