@@ -17,25 +17,28 @@ TIMESTAMP_FORMATS = (
 )
 
 
-def _fixed_characters(layout: str) -> list[str]:
+def _fixed_characters(layout: str) -> set[str]:
     """Characters every text in this layout holds: separators and quoted letters."""
     quoted = re.findall(r"'([^']*)'", layout)
     plain = re.sub(r"'[^']*'|[A-Za-z]", "", layout)
-    return sorted(set(plain) | set("".join(quoted)))
+    return set(plain) | set("".join(quoted))
 
 
 def parse_timestamp(c: Column, formats: tuple[str, ...] = TIMESTAMP_FORMATS) -> Column:
     """First layout that parses; null when none does (never an ANSI error).
 
     A failing parse costs an exception inside the parser, many times a search for a
-    character. So a layout is tried only on texts that hold all its fixed characters;
-    the others could not match it.
+    character. So a layout is tried only on texts that hold the fixed characters setting
+    it apart from the other layouts; texts without them could not match it.
     """
+    shared = set.intersection(*map(_fixed_characters, formats))
 
     def attempt(layout: str) -> Column:
-        possible = reduce(
-            lambda a, b: a & b, [F.contains(c, F.lit(x)) for x in _fixed_characters(layout)]
-        )
-        return F.when(possible, F.try_to_timestamp(c, F.lit(layout)))
+        telling = sorted(_fixed_characters(layout) - shared)
+        parsed = F.try_to_timestamp(c, F.lit(layout))
+        if not telling:
+            return parsed
+        possible = reduce(lambda a, b: a & b, [F.contains(c, F.lit(x)) for x in telling])
+        return F.when(possible, parsed)
 
     return F.coalesce(*[attempt(f) for f in formats])

@@ -320,15 +320,21 @@ class Data:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._frames: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:
         return f"{self.folder}/{table}.parquet"
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in DERIVED:
-            base, columns = DERIVED[name]
-            return self[base].selectExpr(*[f"{e} AS `{c}`" for c, e in columns.items()])
-        return self.spark.read.parquet(self.path(name))
+        # Opening a parquet path reads a footer to learn its schema; once is enough.
+        if name not in self._frames:
+            if name in DERIVED:
+                base, columns = DERIVED[name]
+                items = [f"{e} AS `{c}`" for c, e in columns.items()]
+                self._frames[name] = self[base].selectExpr(*items)
+            else:
+                self._frames[name] = self.spark.read.parquet(self.path(name))
+        return self._frames[name]
 
 
 def derive(*names: str) -> str:
