@@ -30,6 +30,14 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _tagged({t: df.agg(F.count(F.lit(1)).alias("row_count")) for t, df in tables.items()})
 
 
+def emptiness(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """SRT-03: whether each table is empty; at most one row of each is read on."""
+    probe = {t: df.select(F.lit(1).alias("_row")).limit(1) for t, df in tables.items()}
+    return _tagged(
+        {t: df.agg((F.count("_row") == 0).alias("is_empty")) for t, df in probe.items()}
+    )
+
+
 def layer_counts(layers: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
     """AGG-07 for several layers: layer, table_name, row_count."""
     return _tagged({layer: table_counts(tables) for layer, tables in layers.items()}, "layer")

@@ -48,6 +48,11 @@ def eligible(ledger: DataFrame, stage: str, source: str | None = None) -> DataFr
     return ledger.where(gate(stage, source))
 
 
+def ordered(batches: DataFrame) -> DataFrame:
+    """SRT-01: batches of every source in the order they are processed."""
+    return batches.orderBy("source_system_name", "batch_id")
+
+
 def assert_gate(ledger: DataFrame, stage: str, source: str, batch_id: int) -> None:
     """PRJ-23: raise, naming the reason, unless the batch may enter the stage.
 

@@ -406,3 +406,16 @@ def jon_17(data: Data) -> DataFrame:
 )
 def set_02(data: Data) -> DataFrame:
     return audit.table_counts({t: data[t] for t in ("customer", "orders", "lineitem")})
+
+
+@query(
+    "srt_03_emptiness",
+    f"WITH {views_sql('hcp_license', 'hcp_name')} "
+    + " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) = 0 AS is_empty"
+        for t in ("lineitem", "stg_hcp_license", "stg_hcp_name")
+    ),
+)
+def srt_03(data: Data) -> DataFrame:
+    views = {f"stg_{v}": marts.staging_view(data[v], v) for v in ("hcp_license", "hcp_name")}
+    return audit.emptiness({"lineitem": data["lineitem"]} | views)

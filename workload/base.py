@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from goldrow.session import apply_settings
+
 TABLES = (
     "region",
     "nation",
@@ -319,7 +321,7 @@ class Data:
     """Given and derived tables of one data folder."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder.rstrip("/")
+        self.spark, self.folder = apply_settings(spark), folder.rstrip("/")
         self._frames: dict[str, DataFrame] = {}
 
     def path(self, table: str) -> str:

@@ -148,26 +148,34 @@ def agg_21(data: Data) -> DataFrame:
     )
 
 
+@query(
+    "srt_01_ordered_batches",
+    _LEDGER + "SELECT batch_id, source_system_name FROM ledger ORDER BY source_system_name, batch_id",
+)
+def srt_01(data: Data) -> DataFrame:
+    return ledger.ordered(data["ledger"]).select("batch_id", "source_system_name")
+
+
 @query(
     "log_01_stage_events",
-    """SELECT o_orderstatus AS source_identifier, 'Passed' AS run_status, 5400.0 AS time_elapsed,
-      CAST(count(*) AS STRING) AS sub_module FROM orders GROUP BY o_orderstatus""",
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS source_identifier, 'Passed' AS run_status, 5400.0 AS time_elapsed, "
+        f"CAST(count(*) AS STRING) AS sub_module FROM {t}"
+        for t in ("orders", "lineitem")
+    ),
 )
 def log_01(data: Data) -> DataFrame:
-    """One event per order status, whose row count goes into the log."""
-    out = []
-    for status, rows in data["orders"].groupBy("o_orderstatus").count().collect():
-        out.append(
-            logs.stage_event(
-                data.spark,
-                start_time=RUN,
-                end_time=RUN.replace(hour=1, minute=30),
-                source_identifier=status,
-                run_status="Passed",
-                sub_module=str(rows),
-            )
+    """One event per loaded table, with its row count."""
+    orders, lineitem = (
+        logs.stage_event(
+            data.spark,
+            start_time=RUN,
+            end_time=RUN.replace(hour=1, minute=30),
+            source_identifier=table,
+            run_status="Passed",
+            sub_module=str(data[table].count()),
         )
-    frame = out[0]
-    for more in out[1:]:
-        frame = frame.unionByName(more)
-    return frame.select("source_identifier", "run_status", "time_elapsed", "sub_module")
+        for table in ("orders", "lineitem")
+    )
+    events = orders.unionByName(lineitem)
+    return events.select("source_identifier", "run_status", "time_elapsed", "sub_module")
