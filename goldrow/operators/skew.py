@@ -5,9 +5,9 @@ from a shuffle and the skewed side may be split for that join type. A join again
 distinct keys, an outer join whose inner side is skewed, or the second of two joins on
 one key is outside of that.
 
-Here the heavy keys are found first, by an exact count of the key columns that is
-combined on the map side. If there are none, the join is a plain one. Otherwise only the
-heavy keys' rows are spread over a grid of salts; all other rows join on their key.
+Here the heavy keys are found first, by two passes over the key columns. If there are
+none, the join is a plain one. Otherwise only the heavy keys' rows are spread over a grid
+of salts; all other rows join on their key.
 """
 
 from __future__ import annotations
@@ -42,11 +42,19 @@ def _broadcast_limit(df: DataFrame) -> int:
 def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> list[tuple]:
     """The at most ``HEAVY_KEYS`` most frequent key values with at least ``rows`` rows.
 
-    This bounded list is all that reaches the driver.
+    One pass with a bounded number of counters per task gives every value holding more
+    than 1/HEAVY_KEYS of the rows, and some others; a second counts just those exactly.
+    Both read the key columns only, and neither shuffles the keys. The bounded lists are
+    all that reaches the driver.
     """
     known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    only_keys = df.where(known).select(*keys)
+    frequent = only_keys.select(F.struct(*keys).alias("k")).freqItems(["k"], 1 / HEAVY_KEYS)
+    candidates = [tuple(k) for k in frequent.first()[0] or []]
+    if not candidates:
+        return []
     counted = (
-        df.where(known)
+        only_keys.join(F.broadcast(key_frame(df, keys, candidates)), list(keys), "left_semi")
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_rows"))
         .where(F.col("_rows") >= rows)
@@ -56,7 +64,9 @@ def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> li
     return [tuple(r) for r in counted.drop("_rows").collect()]
 
 
-def key_frame(df: DataFrame, keys: Sequence[str], values: Sequence[tuple], extra: str = ""):
+def key_frame(
+    df: DataFrame, keys: Sequence[str], values: Sequence[tuple], extra: str = ""
+) -> DataFrame:
     """A small frame of key values (with more columns described by ``extra``)."""
     schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys])
     if extra:
@@ -125,28 +135,34 @@ def spread_join(
     ]
     grid = F.broadcast(key_frame(left, keys, sizes, "_an int, _bn int"))
 
-    one = F.lit(1)
+    one, zero = F.lit(1), F.lit(0)
     null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+
+    def every(ways: str) -> Column:
+        return F.explode(F.sequence(zero, F.coalesce(F.col(ways), one) - 1))
+
+    def one_of(df: DataFrame, ways: str) -> Column:
+        return F.when(F.col(ways) > 1, _spread(df, F.col(ways))).otherwise(zero)
+
+    # A salt is taken by the heavy side's rows and copied over by the other side's. Where
+    # no key of a side is heavy, its salt is 0 for all and nothing is copied.
     l = left.join(grid, keys, "left").select(
         *l_columns,
         F.when(null_key, _spread(left, F.lit(SALTS)))
-        .when(F.col("_an") > 1, _spread(left, F.col("_an")))
-        .otherwise(F.lit(0))
+        .otherwise(one_of(left, "_an") if wide_left else zero)
         .alias("_a"),
         F.coalesce(F.col("_bn"), one).alias("_copies"),
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_bn"), one) - 1)).alias("_b"),
+        (every("_bn") if wide_right else zero).alias("_b"),
     )
     r = right.join(grid, keys, "left").select(
         *keys,
         *r_columns,
         F.lit(True).alias("_hit"),
-        F.when(F.col("_bn") > 1, _spread(right, F.col("_bn")))
-        .otherwise(F.lit(0))
-        .alias("_b"),
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_an"), one) - 1)).alias("_a"),
+        (one_of(right, "_bn") if wide_right else zero).alias("_b"),
+        (every("_an") if wide_left else zero).alias("_a"),
     )
     joined = l.join(r, [*keys, "_a", "_b"], how)
-    if how == "left":
+    if how == "left" and wide_right:
         # A left row copied over b meets its right rows on some of the b only. A copy
         # without one is surplus: a key is copied only if the right side was counted to
         # hold it, so another copy of the row did match.
