@@ -186,7 +186,7 @@ def snk_10(data: Data) -> DataFrame:
 def snk_11(data: Data) -> DataFrame:
     root = scratch_path(data.spark, "snapshots")
     rows = data["customer"].select("c_custkey", "c_name")
-    writers.snapshot(rows.where("c_custkey < 0"), root, "HCP", date(2024, 1, 31))
+    writers.snapshot(rows.unionAll(rows), root, "HCP", date(2024, 1, 31))
     path = writers.snapshot(rows, root, "HCP", date(2024, 1, 31))
     return data.spark.read.parquet(path).withColumn("tbl", F.lit(path.rsplit("/", 1)[-1]))
 
