@@ -8,16 +8,18 @@ import sys
 from pathlib import Path
 
 import __spark_entry__ as contract
+from workload import REGISTRY
 
 ROOT = Path(__file__).resolve().parents[1]
 
 
 def test_import_needs_no_session():
-    code = "import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    code = "import __spark_entry__ as e; print(*e.queries(), '/', *e.oracle_sql())"
     out = subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True)
     assert out.returncode == 0, out.stderr
-    queries, oracles = map(int, out.stdout.split())
-    assert queries == oracles > 200
+    queries, oracles = (set(names.split()) for names in out.stdout.split("/"))
+    assert set(REGISTRY) <= oracles <= queries
+    assert len(REGISTRY) > 200
 
 
 def test_flagship_runs(spark):
