@@ -2,17 +2,45 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrow.llm import shards, warc
-from goldrow.session import scratch_path
+from goldrow.llm import packing, pieces, shards, warc
+from goldrow.session import scratch_path, write_through
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    encoded = pieces.encode(docs, model, end=True).select("doc_id", "ids")
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+#: The id that ends a document in the packed sequences.
+END_ID = 1
+
+
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    cut = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
+    digests = cut.select(
+        "doc_id", "piece", "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32")
+    )
+    return packing.pack(
+        write_through(digests, "pieces"), ["doc_id", "piece", "length", "ids_crc32"]
+    )
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(_table(spark, folder, "pages"), path)
@@ -57,5 +85,10 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {"op8_warc": op8_warc, "op9_sharding": op9_sharding}
+QUERIES = {
+    "op3_sentencepiece": op3_sentencepiece,
+    "op6_packing": op6_packing,
+    "op8_warc": op8_warc,
+    "op9_sharding": op9_sharding,
+}
 SQL = {"op8_warc": OP8_SQL}

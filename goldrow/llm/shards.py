@@ -16,17 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Ranges per shuffle partition; more ranges even out the partitions.
-RANGES_PER_PARTITION = 4
-
-
-def _ranges(df: DataFrame) -> int:
-    return RANGES_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
-def _before(column: str, window) -> Column:
-    return F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-
+from goldrow.llm.ranks import before, rank_in_groups, ranges
 
 def interleave(
     df: DataFrame, source: str, keys: list[str], shards: int = 8, seed: int = 42
@@ -40,43 +30,31 @@ def interleave(
     """
     if shards < 1:
         raise ValueError("shards must be positive")
-    ranges = _ranges(df)
-    order = ["key", *(f"k{i}" for i in range(len(keys)))]
+    ties = [f"k{i}" for i in range(len(keys))]
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
         F.coalesce(F.col(f"`{source}`").cast("string"), F.lit("")).alias("source"),
         F.col(f"`{source}`").isNull().alias("no_source"),
         F.xxhash64(F.lit(seed), *[F.col(f"`{k}`") for k in keys]).alias("key"),
         *[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(keys)],
-    ).withColumn("range", F.floor((F.col("key") / F.lit(2.0**64) + 0.5) * ranges).cast("int"))
-
-    stratum = ["source", "no_source"]
-    per_range = rows.groupBy(*stratum, "range").count()
-    along = Window.partitionBy(*stratum).orderBy("range")
-    starts = per_range.select(
-        *stratum,
-        "range",
-        _before("count", along).alias("start"),
-        F.sum("count").over(Window.partitionBy(*stratum)).alias("total"),
     )
-    within = Window.partitionBy(*stratum, "range").orderBy(*order)
+    stratum = ["source", "no_source"]
     placed = (
-        rows.withColumn("rank", F.row_number().over(within))
-        .join(starts, [*stratum, "range"])
-        .withColumn("fraction", (F.col("start") + F.col("rank") - 0.5) / F.col("total"))
-        .withColumn("cut", F.floor(F.col("fraction") * ranges).cast("int"))
-        .drop("range", "start", "total", "rank")
+        rank_in_groups(rows, stratum, "key", ties)
+        .withColumn("fraction", (F.col("rank") - 0.5) / F.col("total"))
+        .withColumn("cut", F.floor(F.col("fraction") * ranges(df)).cast("int"))
+        .drop("rank", "total")
     )
 
     per_cut = placed.groupBy("cut").count()
     # One row per range: bounded by the number of shuffle partitions.
     cuts = per_cut.select(
         "cut",
-        _before("count", Window.orderBy("cut")).alias("start"),
+        before("count", Window.orderBy("cut")).alias("start"),
         F.sum("count").over(Window.partitionBy()).alias("n"),
     )
     mixed = Window.partitionBy("cut").orderBy(
-        "fraction", F.xxhash64(F.lit(seed), *stratum), *stratum, *order
+        "fraction", F.xxhash64(F.lit(seed), *stratum), *stratum, "key", *ties
     )
     position = F.col("start") + F.col("rank") - 1
     return (

@@ -13,11 +13,20 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 #: Text bytes of a block. A longer single text is a block of its own.
 BLOCK_BYTES = 32 << 20
 
 
+def schema_with(df: DataFrame, columns: list[str], new: str) -> StructType:
+    """The schema of some columns and of new ones, given as DDL."""
+    return StructType(
+        df.select(*[f"`{c}`" for c in columns]).schema.fields + StructType.fromDDL(new).fields
+    )
+
+
 def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into blocks of at most ``limit`` bytes of ``column``."""
     for batch in batches:
