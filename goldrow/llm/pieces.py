@@ -28,6 +28,8 @@ from goldrow.llm.words import blocks, schema_with
 MARKER = "▁"
 _PROBE = "  a b\t\n é é ﬁ A  "
 _CHUNK = re.compile(" +[^ ]*")
+#: Chunks that go to the library in one call.
+CALL_CHUNKS = 16_384
 #: Ids in one Arrow batch that goes back to Spark.
 BATCH_IDS = 2_000_000
 
@@ -85,15 +87,18 @@ class _Encoder:
         starts = lists.offsets.to_numpy().astype(np.int64)
         table = lists.values.slice(starts[0], starts[-1] - starts[0]).dictionary_encode()
         starts -= starts[0]
-        chunks = table.dictionary.to_pylist()
-        segmented = self.sp.encode(chunks, num_threads=1)
-        for place, chunk in enumerate(chunks):
-            if not chunk:  # a single marker; the library leaves out an empty text's marker
-                segmented[place] = [self.sp.piece_to_id(MARKER)]
-        segmented.append(self.end)
-        lengths = np.fromiter(map(len, segmented), np.int64, len(segmented))
-        flat = np.fromiter(chain.from_iterable(segmented), np.int32, int(lengths.sum()))
-        codes = np.insert(table.indices.to_numpy(), starts[1:], len(chunks))
+        flat, lengths = [], []
+        for at in range(0, len(table.dictionary), CALL_CHUNKS):
+            chunks = table.dictionary.slice(at, CALL_CHUNKS).to_pylist()
+            segmented = self.sp.encode(chunks, num_threads=1)
+            for place, chunk in enumerate(chunks):
+                if not chunk:  # a single marker; the library leaves out an empty text's marker
+                    segmented[place] = [self.sp.piece_to_id(MARKER)]
+            lengths.append(np.fromiter(map(len, segmented), np.int64, len(segmented)))
+            flat.append(np.fromiter(chain.from_iterable(segmented), np.int32, int(lengths[-1].sum())))
+        flat = np.concatenate([*flat, np.array(self.end, np.int32)])
+        lengths = np.concatenate([*lengths, [len(self.end)]]).astype(np.int64)
+        codes = np.insert(table.indices.to_numpy(), starts[1:], len(table.dictionary))
         ends = starts[1:] + np.arange(1, len(starts))
         return join_back(flat, lengths, codes, np.concatenate([[0], ends]))
 
@@ -106,7 +111,8 @@ def join_back(
     begins = np.cumsum(lengths) - lengths
     taken = lengths[codes]
     ends = np.cumsum(taken)
-    where = np.repeat(begins[codes] - (ends - taken), taken) + np.arange(ends[-1] if len(ends) else 0)
+    where = np.repeat(begins[codes] - (ends - taken), taken)
+    where += np.arange(len(where))
     offsets = np.concatenate([[0], ends])[starts]
     return pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(flat[where]))
 

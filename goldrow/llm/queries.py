@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrow.llm import packing, pieces, shards, warc
+from goldrow.llm import packing, pieces, shards, simhash, vectors, warc
 from goldrow.session import scratch_path, write_through
 
 
@@ -14,6 +14,37 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_range_join(spark: SparkSession, folder: str) -> DataFrame:
+    return vectors.near_duplicates(_table(spark, folder, "embeddings"))
+
+
+OP1_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+), usable AS (
+  SELECT * FROM v
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND e IS NOT NULL
+    AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), components AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM v JOIN components c ON c.a = vec_id LEFT JOIN counts k ON k.a = vec_id
+"""
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, folder, "documents").select("doc_id", "text")
@@ -26,6 +57,15 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, folder, "documents"), "doc_id")
+    return found.select(
+        "doc_id",
+        F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
+        "component_id",
+    )
+
+
 #: The id that ends a document in the packed sequences.
 END_ID = 1
 
@@ -86,9 +126,11 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_range_join": op1_range_join,
     "op3_sentencepiece": op3_sentencepiece,
+    "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
 }
-SQL = {"op8_warc": OP8_SQL}
+SQL = {"op1_range_join": OP1_SQL, "op8_warc": OP8_SQL}

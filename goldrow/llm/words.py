@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
 
 #: Text bytes of a block. A longer single text is a block of its own.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 16 << 20
 
 
 def schema_with(df: DataFrame, columns: list[str], new: str) -> StructType:
