@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,14 +24,32 @@ def apply_settings(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def share_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    Needed where it runs from a folder and is not installed; the workers' machines must see
+    that folder then.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors can reach, as the cluster names it.
 
-    ``spark.checkpoint.dir`` decides. Only where it is unset (tests, a laptop) a
-    local temporary folder is chosen and recorded in the session.
+    ``spark.checkpoint.dir`` decides. Only a local master may leave it unset: its one
+    process uses a temporary folder then, and records that in the session.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(
+                f"spark.checkpoint.dir must name a folder that all executors of {master} share"
+            )
         configured = tempfile.mkdtemp(prefix="goldrow-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured
