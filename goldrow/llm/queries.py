@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrow.llm import packing, pieces, shards, simhash, vectors, warc
-from goldrow.session import scratch_path, write_through
+from goldrow.llm import language, packing, pieces, shards, simhash, vectors, warc
+from goldrow.session import scratch_path, share_package, write_through
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    share_package(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
@@ -125,6 +126,19 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _fold(n: int):
+    """The fold of a document: CRC-32 of its id in decimal, modulo n."""
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
+
+
+def op10_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    docs = docs.withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+    models = language.train(docs.where(~F.col("held_out")))
+    rows = docs.select("doc_id", "held_out", "text")
+    return language.identify(rows, models, accepted=~F.col("held_out"))
+
+
 QUERIES = {
     "op1_range_join": op1_range_join,
     "op3_sentencepiece": op3_sentencepiece,
@@ -132,5 +146,6 @@ QUERIES = {
     "op6_packing": op6_packing,
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
+    "op10_language": op10_language,
 }
 SQL = {"op1_range_join": OP1_SQL, "op8_warc": OP8_SQL}
