@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from goldrow.llm.words import blocks, schema_with
+from goldrow.llm.words import blocks, schema_with, texts_of
 
 #: White space inside SentencePiece texts.
 MARKER = "▁"
@@ -30,8 +30,10 @@ _PROBE = "  a b\t\n é é ﬁ A  "
 _CHUNK = re.compile(" +[^ ]*")
 #: Chunks that go to the library in one call.
 CALL_CHUNKS = 16_384
+#: Text bytes of a block: larger ones need fewer segmentations and more memory.
+BLOCK_BYTES = 12 << 20
 #: Ids in one Arrow batch that goes back to Spark.
-BATCH_IDS = 2_000_000
+BATCH_IDS = 1_000_000
 
 
 @lru_cache(maxsize=2)
@@ -128,6 +130,21 @@ def _small(ids: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
+def _encoding(model: bytes, end: bool, text: str, kept: list[str], out: str):
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        encoder = _Encoder(model, end)
+        for block in blocks(batches, text, BLOCK_BYTES):
+            ids = encoder.encode(texts_of(block, text))
+            for start, stop in _small(ids):
+                part = block.slice(start, stop - start).select(kept)
+                column = ids.slice(start, stop - start).cast(pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*kept, out])
+            del ids
+            pa.default_memory_pool().release_unused()
+
+    return task
+
+
 def encode(
     df: DataFrame, model_file: str, text: str = "text", out: str = "ids", end: bool = True
 ) -> DataFrame:
@@ -135,21 +152,9 @@ def encode(
     ``end``. A null text counts as empty. A column of that name is replaced; all other
     columns stay. The model is read on the driver and travels with the tasks.
     """
-    model = _read(model_file)
     kept = [c for c in df.columns if c != out]
     schema = schema_with(df, kept, f"`{out}` array<int>")
-
-    def task(batches) -> Iterator[pa.RecordBatch]:
-        encoder = _Encoder(model, end)
-        for block in blocks(batches, text):
-            texts = pc.fill_null(block.column(text).cast(pa.large_string()), "")
-            ids = encoder.encode(texts)
-            for start, stop in _small(ids):
-                part = block.slice(start, stop - start).select(kept)
-                column = ids.slice(start, stop - start).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*kept, out])
-
-    return df.mapInArrow(task, schema)
+    return df.mapInArrow(_encoding(_read(model_file), end, text, kept, out), schema)
 
 
 class _Decoder:
@@ -190,21 +195,41 @@ class _Decoder:
         return out
 
 
-def decode(df: DataFrame, model_file: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Add ``out`` (string): exactly the library's text of the ids; null ids give ''."""
-    model = _read(model_file)
-    kept = [c for c in df.columns if c != out]
-    schema = schema_with(df, kept, f"`{out}` string")
-
+def _decoding(model: bytes, ids: str, kept: list[str], out: str):
     def task(batches) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(model)
         empty = pa.scalar([], pa.list_(pa.int32()))
         for batch in batches:
             texts = decoder.decode(pc.fill_null(batch.column(ids), empty))
-            part = batch.select(kept)
-            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*kept, out])
+            columns = [*batch.select(kept).columns, pa.array(texts, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*kept, out])
+
+    return task
+
 
-    return df.mapInArrow(task, schema)
+def decode(df: DataFrame, model_file: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
+    """Add ``out`` (string): exactly the library's text of the ids; null ids give ''."""
+    kept = [c for c in df.columns if c != out]
+    schema = schema_with(df, kept, f"`{out}` string")
+    return df.mapInArrow(_decoding(_read(model_file), ids, kept, out), schema)
+
+
+def round_trip(
+    df: DataFrame,
+    model_file: str,
+    text: str = "text",
+    ids: str = "ids",
+    out: str = "decoded",
+    end: bool = True,
+) -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one pass; the text is left out."""
+    model = _read(model_file)
+    kept = [c for c in df.columns if c not in (text, ids, out)]
+    schema = schema_with(df, kept, f"`{ids}` array<int>, `{out}` string")
+    first = _encoding(model, end, text, kept, ids)
+    then = _decoding(model, ids, [*kept, ids], out)
+    columns = [f"`{c}`" for c in [*kept, text]]
+    return df.select(*columns).mapInArrow(lambda batches: then(first(batches)), schema)
 
 
 def _read(path: str) -> bytes:

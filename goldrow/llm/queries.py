@@ -3,10 +3,21 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from goldrow.llm import language, packing, pieces, shards, simhash, vectors, warc
+from goldrow.llm import (
+    language,
+    packing,
+    pieces,
+    quality_rules,
+    shards,
+    simhash,
+    suffixes,
+    toxicity,
+    vectors,
+    warc,
+)
 from goldrow.session import scratch_path, share_package, write_through
 
 
@@ -46,11 +57,30 @@ FROM v JOIN components c ON c.a = vec_id LEFT JOIN counts k ON k.a = vec_id
 """
 
 
+def _fold(n: int) -> Column:
+    """The fold of a document: CRC-32 of its id in decimal, modulo n. No id, no fold."""
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    return F.coalesce(F.pmod(crc, F.lit(n)), F.lit(-1))
+
+
+def learn_toxicity(docs: DataFrame, labels: DataFrame) -> toxicity.Classifier:
+    """From rows outside of fold 2; the labels say which are toxic, and how many."""
+    labels = labels.where((_fold(4) != 2) & F.col("toxic").isNotNull())
+    prior = labels.agg(F.avg(F.col("toxic").cast("double"))).first()[0]
+    confirmed = labels.where("toxic = 1").select("doc_id")
+    return toxicity.train(docs.where(_fold(4) != 2), confirmed, prior or 0.0)
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    classifier = learn_toxicity(docs, _table(spark, folder, "labels"))
+    return toxicity.score(docs.withColumn("held_out", _fold(4) == 2), classifier)
+
+
 def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("piece_bpe_32k.model")
     docs = _table(spark, folder, "documents").select("doc_id", "text")
-    encoded = pieces.encode(docs, model, end=True).select("doc_id", "ids")
-    return pieces.decode(encoded, model).select(
+    return pieces.round_trip(docs, model, end=True).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
@@ -58,6 +88,18 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    spans = F.transform("removed", lambda s: s["stop"] - s["start"])
+    return suffixes.remove_repeats(docs).select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(spans, F.lit(0).cast("bigint"), lambda a, b: a + b).alias("n_removed"),
+        F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"), "doc_id")
     return found.select(
@@ -82,6 +124,11 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
+    return quality_rules.apply_rules(docs, quality_rules.train(docs)).drop("lang")
+
+
 def op8_warc(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "warc")
     warc.write_warc(_table(spark, folder, "pages"), path)
@@ -126,14 +173,9 @@ def op9_sharding(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _fold(n: int):
-    """The fold of a document: CRC-32 of its id in decimal, modulo n."""
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(n))
-
-
 def op10_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
-    docs = docs.withColumn("held_out", F.coalesce(_fold(3) == 1, F.lit(False)))
+    docs = docs.withColumn("held_out", _fold(3) == 1)
     models = language.train(docs.where(~F.col("held_out")))
     rows = docs.select("doc_id", "held_out", "text")
     return language.identify(rows, models, accepted=~F.col("held_out"))
@@ -141,9 +183,12 @@ def op10_language(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "op1_range_join": op1_range_join,
+    "op2_toxicity": op2_toxicity,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_suffixes": op4_suffixes,
     "op5_simhash": op5_simhash,
     "op6_packing": op6_packing,
+    "op7_quality": op7_quality,
     "op8_warc": op8_warc,
     "op9_sharding": op9_sharding,
     "op10_language": op10_language,
