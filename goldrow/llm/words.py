@@ -41,8 +41,18 @@ def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[
 
 
 def texts_of(block: pa.RecordBatch, column: str = "text") -> pa.Array:
-    """The texts, null as empty, with 64-bit offsets."""
-    return pc.fill_null(block.column(column).cast(pa.large_string()), "")
+    """The texts, null as empty, with 64-bit offsets that start at 0.
+
+    Built anew, because some string kernels misread the offsets of a slice.
+    """
+    texts = pc.fill_null(block.column(column).cast(pa.large_string()), "")
+    _, offsets, data = texts.buffers()
+    offsets = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    first, last = int(offsets[0]), int(offsets[-1])
+    data = (data or pa.py_buffer(b"")).slice(first, last - first)
+    return pa.Array.from_buffers(
+        pa.large_string(), len(texts), [None, pa.py_buffer(offsets - first), data]
+    )
 
 
 @dataclass
