@@ -113,8 +113,9 @@ def op5_simhash(spark: SparkSession, folder: str) -> DataFrame:
 END_ID = 1
 
 
-def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = _table(spark, folder, "documents").select("doc_id", "text")
+def pack_documents(docs: DataFrame) -> DataFrame:
+    """Places of all pieces of documents (doc_id, text), with a digest of their ids."""
+    docs = docs.select("doc_id", "text")
     cut = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), END_ID)
     digests = cut.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").cast("bigint").alias("ids_crc32")
@@ -124,6 +125,10 @@ def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_table(spark, folder, "documents"))
+
+
 def op7_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text", "lang")
     return quality_rules.apply_rules(docs, quality_rules.train(docs)).drop("lang")

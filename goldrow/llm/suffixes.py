@@ -420,9 +420,12 @@ def _merged(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts[first], reach[ends]
 
 
-def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_repeats(
+    df: DataFrame, key: str = "doc_id", text: str = "text", as_text: bool = False
+) -> DataFrame:
     """All columns but the text, and ``n_bytes``, ``removed`` (maximal removed spans, an array
-    of start and stop), and ``kept`` (binary, what is left).
+    of start and stop), and ``kept`` (binary, what is left; as a string if ``as_text``, without
+    the characters of which a part was removed).
 
     Every byte goes that a string of ``LENGTH`` bytes covers which starts elsewhere too, in
     this or any other row; strings do not cross rows, and copies lose all of their bytes. A
@@ -439,11 +442,13 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     schema = schema_with(
         rows,
         ["row"],
-        "n_bytes bigint, removed array<struct<start: bigint, stop: bigint>>, kept binary",
+        "n_bytes bigint, removed array<struct<start: bigint, stop: bigint>>, "
+        f"kept {'string' if as_text else 'binary'}",
     )
 
+    span_list = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
+
     def task(batches) -> Iterator[pa.RecordBatch]:
-        kind = schema_kind
         for block in blocks(batches, "text", 4 << 20):
             texts, lists = texts_of(block), block.column("spans")
             removed, kept = [], []
@@ -467,13 +472,14 @@ def remove_repeats(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
                 [
                     block.column("row"),
                     pc.binary_length(texts).cast(pa.int64()),
-                    pa.array(removed, kind),
-                    pa.array(kept, pa.binary()),
+                    pa.array(removed, span_list),
+                    pa.array([k.decode("utf-8", "ignore") for k in kept], pa.string())
+                    if as_text
+                    else pa.array(kept, pa.binary()),
                 ],
                 names=schema.names,
             )
 
-    schema_kind = pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))
     return (
         rows.join(spans, "id", "left")
         .select("row", "text", "spans")
