@@ -36,7 +36,7 @@ GRAM = 64
 #: Words of eight bytes behind the gram that multikey quicksort compares.
 SHALLOW = 2
 #: Different contexts of an anchor hash that one task compares.
-GROUP_CONTEXTS = 256
+GROUP_CONTEXTS = 4096
 #: Contexts that a task sorts together.
 BUCKET_CONTEXTS = 16_384
 #: Window starts that are hashed at a time.
