@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from goldrow.operators.schema import col, quoted
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, mark_known, spread_join
+from goldrow.operators.skew import mark_known, spread_join
 
 
 def _tagged(parts: Mapping[str, DataFrame], tag: str = "table_name") -> DataFrame:
@@ -300,8 +300,7 @@ def side_by_side(
     view_key: str = "SOURCE_FK",
     preview: int = 500,
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """JON-17: each document's beginning next to the values extracted from it."""
     left = raw.select(key, F.left("response_json", F.lit(preview)).alias("raw_json_preview"))
@@ -309,6 +308,6 @@ def side_by_side(
         F.col(view_key).alias(key), *[col(c) for c in view.columns if c != view_key]
     )
     return spread_join(
-        left, right, [key], "left", heavy_rows=heavy_rows, small_bytes=small_bytes
+        left, right, [key], "left", pieces=pieces
     )
 

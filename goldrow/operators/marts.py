@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from goldrow.functions.jsontext import parsed, variant_text
 from goldrow.operators.schema import rename
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, left_join_all
+from goldrow.operators.skew import left_join_all
 from goldrow.plans import catalog
 from goldrow.plans.specs import Col, Json, Null
 
@@ -47,8 +47,7 @@ def _consolidate(
     views: Mapping[str, DataFrame],
     anchor: str,
     columns: Sequence[tuple[str, str, str]],
-    heavy_rows: int,
-    small_bytes: int,
+    pieces: int | None,
 ) -> DataFrame:
     """Left-join every other view onto the anchor by key; only needed columns travel."""
 
@@ -61,8 +60,7 @@ def _consolidate(
         side(anchor),
         [side(v) for v in others],
         [KEY],
-        heavy_rows=heavy_rows,
-        small_bytes=small_bytes,
+        pieces=pieces,
     )
     return out.select(KEY, *[t for _, _, t in columns])
 
@@ -70,24 +68,22 @@ def _consolidate(
 def consolidate_person(
     views: Mapping[str, DataFrame],
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """JON-11: the name view with 13 child views; several child rows fan the person out."""
     return _consolidate(
-        views, catalog.PERSON_ANCHOR, catalog.PERSON_COLUMNS, heavy_rows, small_bytes
+        views, catalog.PERSON_ANCHOR, catalog.PERSON_COLUMNS, pieces
     )
 
 
 def consolidate_organization(
     views: Mapping[str, DataFrame],
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """JON-12: the address view with five others."""
     return _consolidate(
-        views, catalog.ORGANIZATION_ANCHOR, catalog.ORGANIZATION_COLUMNS, heavy_rows, small_bytes
+        views, catalog.ORGANIZATION_ANCHOR, catalog.ORGANIZATION_COLUMNS, pieces
     )
 
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from goldrow.functions.predicates import non_blank
 from goldrow.operators.schema import col, find_column, require_column, union_filled
-from goldrow.operators.skew import HEAVY_ROWS, SMALL_PLAN_BYTES, mark_known
+from goldrow.operators.skew import mark_known
 from goldrow.plans.catalog import DQ_COLUMNS, PARENT_KEY_CANDIDATES, REFERENCE_TABLE, rules_for
 from goldrow.plans.specs import DQRule
 from goldrow.session import write_through
@@ -199,13 +199,12 @@ def run_chain(
     reference: DataFrame | None = None,
     *,
     processed_at: Column | None = None,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DQResult:
     """JON-07: rows surviving rule k meet rule k+1; a reject carries its first failure."""
     if not rules:
         raise ValueError("no active rule for this table")
-    lookups = _Lookups(df, reference, {"heavy_rows": heavy_rows, "small_bytes": small_bytes})
+    lookups = _Lookups(df, reference, {"pieces": pieces})
     failures = []
     for position, rule in enumerate(rules, 1):
         builder = RULES.get(rule.rule.strip().lower())

@@ -15,13 +15,7 @@ from pyspark.sql import functions as F
 from goldrow.functions.jsontext import parsed, step_path, variant_text
 from goldrow.operators.documents import PRIMARY_SCHEMA, record_score
 from goldrow.operators.schema import unnest
-from goldrow.operators.skew import (
-    HEAVY_ROWS,
-    SMALL_PLAN_BYTES,
-    mark_known,
-    plan_bytes,
-    spread_join,
-)
+from goldrow.operators.skew import mark_known, spread_join
 from goldrow.session import write_through
 
 ERRORS = "array<struct<field_path: string, error_type: string, message: string>>"
@@ -424,8 +418,7 @@ def drop_known(
     secondary: DataFrame,
     known: DataFrame,
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """JON-18: secondary records whose id the request's primary records do not list."""
     marked = mark_known(
@@ -433,8 +426,7 @@ def drop_known(
         known,
         ["request_id", "record_id"],
         "_known",
-        heavy_rows=heavy_rows,
-        small_bytes=small_bytes,
+        pieces=pieces,
     )
     return marked.where(~F.col("_known")).select(*secondary.columns)
 
@@ -457,8 +449,7 @@ def include_secondary(
     secondary: DataFrame,
     threshold: float,
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """SBC-06: the secondary records that go into each request's answer.
 
@@ -466,13 +457,13 @@ def include_secondary(
     the primary ones do not already list. Any other gets all of them, and only if no
     primary record scores high enough.
     """
-    options = {"heavy_rows": heavy_rows, "small_bytes": small_bytes}
+    options = {"pieces": pieces}
     asked = requests.select(
         "request_id", F.coalesce("search_secondary", F.lit(False)).alias("_asked")
     )
     # One row per request on both sides, and then one row per request against records.
     flags = asked.join(high_score(primary, threshold), "request_id", "left")
-    rows = spread_join(secondary, flags, ["request_id"], "inner", right_heavy=(), **options)
+    rows = spread_join(secondary, flags, ["request_id"], "inner", right_unique=True, **options)
     rows = mark_known(
         rows,
         known_secondary_ids(primary),
@@ -490,8 +481,7 @@ def combine(
     primary: DataFrame,
     secondary: DataFrame,
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """SBC-07: a request's answer: primary records, then secondary, with their number.
 
@@ -504,17 +494,15 @@ def combine(
         .select(*columns)
         .unionByName(secondary.withColumn("source_order", F.lit(2)).select(*columns))
     )
-    if plan_bytes(both) > small_bytes:
-        # Read three times below; computed once.
-        both = write_through(both, "answer")
+    # Read for the rows, their number and their distribution; computed once.
+    both = write_through(both, "answer")
     return spread_join(
         both,
         result_counts(both),
         ["request_id"],
         "inner",
-        heavy_rows=heavy_rows,
-        small_bytes=small_bytes,
-        right_heavy=(),
+        pieces=pieces,
+        right_unique=True,
     )
 
 

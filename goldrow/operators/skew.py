@@ -1,13 +1,16 @@
-"""Joins that stay spread out when one key holds a large share of the rows.
+"""Joins that stay spread out when one key, or the null key, holds most of the rows.
 
 Adaptive execution splits a skewed shuffle join only where both inputs come straight
 from a shuffle and the skewed side may be split for that join type. A join against
 distinct keys, an outer join whose inner side is skewed, or the second of two joins on
 one key is outside of that.
 
-Here the heavy keys are found first, by two passes over the key columns. If there are
-none, the join is a plain one. Otherwise only the heavy keys' rows are spread over a grid
-of salts; all other rows join on their key.
+Here rows are counted per key first, in the same plan. The rows with a key are thought of
+as cut into ``pieces``, some per shuffle partition. A key with more rows than a piece is
+dealt out over as many salts as it fills pieces, and there are at most ``pieces`` such keys,
+so their table has a proven size and is broadcast. Both limits are shares of the rows: the
+plan is one and the same whatever the size. Rows without a key match nothing; they are
+dealt out over all pieces.
 """
 
 from __future__ import annotations
@@ -19,62 +22,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Two plans both estimated below this size are joined plainly: one task can hold them.
-SMALL_PLAN_BYTES = 256 * 1024 * 1024
-#: Most heavy keys treated; any key outside of them holds under 1/HEAVY_KEYS of the rows.
-HEAVY_KEYS = 1000
-#: A key must have this many rows to be worth spreading.
-HEAVY_ROWS = 1_000_000
-#: Salts a heavy side is spread over.
-SALTS = 64
+#: Pieces for each shuffle partition; many even out how salts fall to partitions.
+PIECES_PER_PARTITION = 16
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Optimizer size estimate; reads statistics only and runs no job."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def default_pieces(df: DataFrame) -> int:
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return PIECES_PER_PARTITION * partitions
 
 
-def _broadcast_limit(df: DataFrame) -> int:
-    conf = df.sparkSession._jsparkSession.sessionState().conf()
-    return int(str(conf.autoBroadcastJoinThreshold()))
+def key_ways(df: DataFrame, keys: Sequence[str], pieces: int, ways: str) -> DataFrame:
+    """Keys with more rows than a piece, and the number of pieces they fill (``ways``).
 
-
-def heavy_keys(df: DataFrame, keys: Sequence[str], rows: int = HEAVY_ROWS) -> list[tuple]:
-    """The at most ``HEAVY_KEYS`` most frequent key values with at least ``rows`` rows.
-
-    One pass with a bounded number of counters per task gives every value holding more
-    than 1/HEAVY_KEYS of the rows, and some others; a second counts just those exactly.
-    Both read the key columns only, and neither shuffles the keys. The bounded lists are
-    all that reaches the driver.
+    Lazy. Counts combine before the shuffle; at most ``pieces`` rows come out.
     """
-    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    only_keys = df.where(known).select(*keys)
-    frequent = only_keys.select(F.struct(*keys).alias("k")).freqItems(["k"], 1 / HEAVY_KEYS)
-    candidates = [tuple(k) for k in frequent.first()[0] or []]
-    if not candidates:
-        return []
-    counted = (
-        only_keys.join(F.broadcast(key_frame(df, keys, candidates)), list(keys), "left_semi")
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .where(F.col("_rows") >= rows)
-        .orderBy(F.desc("_rows"), *keys)
-        .limit(HEAVY_KEYS)
+    counted = _with_key(df.select(*keys), keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counted.agg(F.sum("_rows")).scalar()
+    filled = F.col("_rows") * pieces
+    return counted.where(filled > total).select(
+        *keys, F.ceil(filled / total).cast("int").alias(ways)
     )
-    return [tuple(r) for r in counted.drop("_rows").collect()]
 
 
-def key_frame(
-    df: DataFrame, keys: Sequence[str], values: Sequence[tuple], extra: str = ""
-) -> DataFrame:
-    """A small frame of key values (with more columns described by ``extra``)."""
-    schema = T.StructType([T.StructField(k, df.schema[k].dataType) for k in keys])
-    if extra:
-        schema = T.StructType(schema.fields + T._parse_datatype_string(extra).fields)
-    return df.sparkSession.createDataFrame(list(values), schema)
+def _with_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.where(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
 
 
-def _spread(df: DataFrame, n: Column) -> Column:
+def _spread(df: DataFrame, n: Column | int) -> Column:
     """Retry-stable salt: row content plus the task's partition number.
 
     Content alone would put all copies of one row on one salt; a random number would
@@ -82,6 +56,7 @@ def _spread(df: DataFrame, n: Column) -> Column:
     """
     unhashable = (T.MapType, T.VariantType)
     columns = [f.name for f in df.schema if not isinstance(f.dataType, unhashable)]
+    n = n if isinstance(n, Column) else F.lit(n)
     return F.pmod(F.xxhash64(*columns) + F.spark_partition_id(), n).cast("int")
 
 
@@ -91,52 +66,35 @@ def spread_join(
     keys: Sequence[str],
     how: str = "left",
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
     left_source: DataFrame | None = None,
-    left_heavy: Sequence[tuple] | None = None,
-    right_heavy: Sequence[tuple] | None = None,
+    right_unique: bool = False,
+    grid: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join on same-named ``keys`` ('left' or 'inner') safe against heavy keys.
 
     Same rows and columns as ``left.join(right, keys, how)`` with the left columns first.
-    Heavy keys are counted on ``left_source`` where it has the left keys with fewer steps
-    behind it; a side whose heavy keys are known, or that is unique, is not counted.
+    Left rows are counted on ``left_source`` where it has the left keys with fewer steps
+    behind it; a side that is unique in the keys is not counted. ``grid`` gives the ways of
+    heavy keys (``_an`` left, ``_bn`` right) where they are known.
     """
     if how not in ("left", "inner"):
         raise ValueError(f"unsupported join type: {how}")
     keys = list(keys)
+    pieces = default_pieces(left) if pieces is None else pieces
     l_columns, r_columns = left.columns, [c for c in right.columns if c not in keys]
-
-    def plain() -> DataFrame:
-        return left.join(right, keys, how).select(*l_columns, *r_columns)
-
-    # Fits one task, or Spark will broadcast a side by its own size check.
-    if small_bytes > 0:
-        r, limit = plan_bytes(right), _broadcast_limit(left)
-        if r <= limit:
-            return plain()
-        l = plan_bytes(left)
-        if max(l, r) <= small_bytes or (how == "inner" and l <= limit):
-            return plain()
-
-    if left_heavy is None:
-        left_heavy = heavy_keys(left if left_source is None else left_source, keys, heavy_rows)
-    if right_heavy is None:
-        right_heavy = heavy_keys(right, keys, heavy_rows)
-    if not left_heavy and not right_heavy:
-        return plain()
+    one, zero = F.lit(1), F.lit(0)
 
     # Grid per heavy key: _an ways across the left rows, _bn across the right ones.
-    wide_left, wide_right = set(left_heavy), set(right_heavy)
-    sizes = [
-        (*k, SALTS if k in wide_left else 1, SALTS if k in wide_right else 1)
-        for k in dict.fromkeys([*left_heavy, *right_heavy])
-    ]
-    grid = F.broadcast(key_frame(left, keys, sizes, "_an int, _bn int"))
+    if grid is None:
+        grid = key_ways(left if left_source is None else left_source, keys, pieces, "_an")
+        if right_unique:
+            grid = grid.withColumn("_bn", one)
+        else:
+            grid = grid.join(key_ways(right, keys, pieces, "_bn"), keys, "full")
+    grid = F.broadcast(grid)
 
-    one, zero = F.lit(1), F.lit(0)
-    null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
     def every(ways: str) -> Column:
         return F.explode(F.sequence(zero, F.coalesce(F.col(ways), one) - 1))
@@ -144,25 +102,22 @@ def spread_join(
     def one_of(df: DataFrame, ways: str) -> Column:
         return F.when(F.col(ways) > 1, _spread(df, F.col(ways))).otherwise(zero)
 
-    # A salt is taken by the heavy side's rows and copied over by the other side's. Where
-    # no key of a side is heavy, its salt is 0 for all and nothing is copied.
+    # A salt is taken by the counted side's rows and copied over by the other side's.
     l = left.join(grid, keys, "left").select(
         *l_columns,
-        F.when(null_key, _spread(left, F.lit(SALTS)))
-        .otherwise(one_of(left, "_an") if wide_left else zero)
-        .alias("_a"),
+        F.when(no_key, _spread(left, pieces)).otherwise(one_of(left, "_an")).alias("_a"),
         F.coalesce(F.col("_bn"), one).alias("_copies"),
-        (every("_bn") if wide_right else zero).alias("_b"),
+        (zero if right_unique else every("_bn")).alias("_b"),
     )
-    r = right.join(grid, keys, "left").select(
+    r = _with_key(right, keys).join(grid, keys, "left").select(
         *keys,
         *r_columns,
         F.lit(True).alias("_hit"),
-        (one_of(right, "_bn") if wide_right else zero).alias("_b"),
-        (every("_an") if wide_left else zero).alias("_a"),
+        (zero if right_unique else one_of(right, "_bn")).alias("_b"),
+        every("_an").alias("_a"),
     )
     joined = l.join(r, [*keys, "_a", "_b"], how)
-    if how == "left" and wide_right:
+    if how == "left" and not right_unique:
         # A left row copied over b meets its right rows on some of the b only. A copy
         # without one is surplus: a key is copied only if the right side was counted to
         # hold it, so another copy of the row did match.
@@ -178,7 +133,7 @@ def mark_known(
     The known keys are made distinct, on the map side first, so rows are never doubled.
     """
     marked = known.select(*keys).distinct().withColumn(flag, F.lit(True))
-    joined = spread_join(df, marked, keys, "left", right_heavy=(), **options)
+    joined = spread_join(df, marked, keys, "left", right_unique=True, **options)
     return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
@@ -187,35 +142,52 @@ def left_join_all(
     others: Sequence[DataFrame],
     keys: Sequence[str],
     *,
-    heavy_rows: int = HEAVY_ROWS,
-    small_bytes: int = SMALL_PLAN_BYTES,
+    pieces: int | None = None,
 ) -> DataFrame:
     """Left-join many tables onto one by the same keys.
 
-    Rows of ordinary keys take plain joins: every table is shuffled once and all joins
-    run where the rows already are. Only rows of heavy keys, of whichever table, leave
-    that path and are joined spread out.
+    Rows of ordinary keys take plain joins: every table is shuffled once and all joins run
+    where the rows already are. Only rows of keys that are heavy in any table leave that
+    path and are joined spread out. Anchor rows without a key join nothing.
     """
     keys = list(keys)
-    tables = [anchor, *others]
-
-    def plain(frames: Sequence[DataFrame]) -> DataFrame:
-        return reduce(lambda l, r: l.join(r, keys, "left"), frames)
-
-    if small_bytes > 0 and all(plan_bytes(t) <= small_bytes for t in tables):
-        return plain(tables)
-    heavy = [heavy_keys(t, keys, heavy_rows) for t in tables]
-    every = list(dict.fromkeys(k for found in heavy for k in found))
-    if not every:
-        return plain(tables)
-
-    hot = F.broadcast(key_frame(anchor, keys, every))
-    cold = plain([t.join(hot, keys, "left_anti") for t in tables])
-    out, seen = anchor.join(hot, keys, "left_semi"), list(heavy[0])
-    for table, found in zip(others, heavy[1:], strict=True):
-        rows = table.join(hot, keys, "left_semi")
-        out = spread_join(
-            out, rows, keys, "left", small_bytes=0, left_heavy=seen, right_heavy=found
+    pieces = default_pieces(anchor) if pieces is None else pieces
+    tables = (anchor, *others)
+    ways = reduce(
+        lambda a, b: a.unionByName(b),
+        [
+            key_ways(t, keys, pieces, "_ways").withColumn("_table", F.lit(i))
+            for i, t in enumerate(tables)
+        ],
+    )
+    # One row per key that is heavy in any table, with its ways in each.
+    each = [F.max(F.when(F.col("_table") == i, F.col("_ways"))) for i in range(len(tables))]
+    heavy = ways.groupBy(*keys).agg(
+        *[F.coalesce(w, F.lit(1)).alias(f"_w{i}") for i, w in enumerate(each)]
+    )
+    hot = F.broadcast(heavy.select(*keys))
+
+    cold = [_with_key(t, keys).join(hot, keys, "left_anti") for t in tables]
+    ordinary = reduce(lambda l, r: l.join(r, keys, "left"), cold)
+    out = _with_key(anchor, keys).join(hot, keys, "left_semi")
+    # What is joined already fills the product of its tables' ways.
+    filled = F.col("_w0")
+    for i, table in enumerate(others, 1):
+        grid = heavy.select(
+            *keys, F.least(filled, F.lit(pieces)).alias("_an"), F.col(f"_w{i}").alias("_bn")
         )
-        seen = list(dict.fromkeys([*seen, *found]))
-    return cold.select(*out.columns).unionByName(out)
+        rows = table.join(hot, keys, "left_semi")
+        out = spread_join(out, rows, keys, "left", pieces=pieces, grid=grid)
+        filled = F.least(filled * F.col(f"_w{i}"), F.lit(pieces))
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    alone = anchor.where(no_key)
+    absent = [
+        F.lit(None).cast(f.dataType).alias(f.name)
+        for f in out.schema
+        if f.name not in anchor.columns
+    ]
+    return (
+        ordinary.select(*out.columns)
+        .unionByName(out)
+        .unionByName(alone.select(*anchor.columns, *absent).select(*out.columns))
+    )

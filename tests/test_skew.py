@@ -15,7 +15,7 @@ from tests.conftest import SMALL
 from workload import Data
 from workload.marts import organization_views, person_views
 
-FORCED = {"small_bytes": 0, "heavy_rows": 3}
+FORCED = {"pieces": 30}
 
 
 def rows(df):
@@ -47,7 +47,7 @@ def test_spread_join_equals_plain(spark, how):
 def test_spread_join_known_heavy_keys(spark, how):
     left, right = skewed(spark)
     unique = right.select("k").distinct().where("k IS NOT NULL").withColumn("u", F.lit(1))
-    got = skew.spread_join(left, unique, ["k"], how, right_heavy=(), **FORCED)
+    got = skew.spread_join(left, unique, ["k"], how, right_unique=True, **FORCED)
     assert rows(got) == rows(left.join(unique, ["k"], how))
 
 
@@ -62,18 +62,55 @@ def test_heavy_rows_are_spread(spark):
     assert partitions > 1
 
 
-def test_heavy_keys_are_exact_and_bounded(spark, monkeypatch):
+def test_ways_are_shares_of_the_rows(spark):
     left, _ = skewed(spark)
-    assert skew.heavy_keys(left, ["k"], 3) == [("a",), ("c",), ("b",)]
-    monkeypatch.setattr(skew, "HEAVY_KEYS", 1)
-    assert skew.heavy_keys(left, ["k"], 3) == [("a",)]
+    ways = {r["k"]: r["w"] for r in skew.key_ways(left, ["k"], 30, "w").collect()}
+    # 57 rows with a key, so a piece is 1.9 rows.
+    assert ways == {"a": 22, "b": 2, "c": 7}
+    ten_times = left.crossJoin(spark.range(10)).select("k", "l")
+    assert {r["k"]: r["w"] for r in skew.key_ways(ten_times, ["k"], 30, "w").collect()} == ways
 
 
-def test_keys_beyond_the_bound_join_plainly(spark, monkeypatch):
-    left, right = skewed(spark)
-    monkeypatch.setattr(skew, "HEAVY_KEYS", 1)
-    got = skew.spread_join(left, right, ["k"], "left", **FORCED)
-    assert rows(got) == rows(left.join(right, ["k"], "left"))
+@pytest.mark.parametrize("pieces", [1, 4, 100])
+def test_heavy_keys_are_bounded_by_the_pieces(spark, pieces):
+    left, _ = skewed(spark)
+    assert skew.key_ways(left, ["k"], pieces, "w").count() <= pieces
+
+
+@pytest.fixture
+def sixteen_tasks(spark):
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize("hot", [None, "hot"])
+@pytest.mark.parametrize("join", ["mark_known", "spread_join", "left_join_all"])
+def test_no_task_holds_over_twice_the_mean(spark, sixteen_tasks, hot, join):
+    ids = spark.range(200_000)
+    key = F.when(F.col("id") % 10 == 0, F.concat(F.lit("k"), F.col("id") % 5000)).otherwise(hot)
+    left = ids.select(key.alias("k"), F.col("id").alias("l"))
+    other = ids.where("id < 5000").select(F.concat(F.lit("k"), F.col("id")).alias("k"), "id")
+    if hot:
+        other = other.unionByName(spark.createDataFrame([(hot, -1)], "k string, id long"))
+    if join == "mark_known":
+        got = skew.mark_known(left, other, ["k"], "known")
+    elif join == "spread_join":
+        got = skew.spread_join(left, other.withColumnRenamed("id", "r"), ["k"])
+    else:
+        got = skew.left_join_all(left, [other.withColumnRenamed("id", "r")], ["k"])
+    sizes = [r["count"] for r in got.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 200_000
+    # Rows without a key that need no join stay in the tasks that read them.
+    assert max(sizes) <= 2 * 200_000 / 16
 
 
 def test_composite_keys(spark):
@@ -91,13 +128,6 @@ def test_left_join_all_equals_chain(spark):
     assert rows(got) == rows(want)
 
 
-def test_left_join_all_without_heavy_keys_has_no_salt(spark):
-    left, right = skewed(spark)
-    got = skew.left_join_all(left, [right], ["k"], small_bytes=0, heavy_rows=1000)
-    assert "_a" not in got._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(got) == rows(left.join(right, ["k"], "left"))
-
-
 def test_mark_known(spark):
     left, right = skewed(spark)
     got = skew.mark_known(left, right, ["k"], "known", **FORCED)
@@ -119,7 +149,7 @@ def test_spread_join_property(spark, left, right, how):
 def test_consolidations_forced(spark):
     data = Data(spark, SMALL)
     people, places = person_views(data), organization_views(data)
-    forced = {"small_bytes": 0, "heavy_rows": 5}
+    forced = {"pieces": 500}
     assert rows(marts.consolidate_person(people, **forced)) == rows(marts.consolidate_person(people))
     assert rows(marts.consolidate_organization(places, **forced)) == rows(
         marts.consolidate_organization(places)
