@@ -56,10 +56,13 @@ def incremental_window(
         return df
     ts = as_timestamp(df, actual)
     lit = lambda v: v if isinstance(v, Column) else F.lit(v)
-    keep = (ts > lit(start)) & (ts <= lit(end))
+    # As the output of a generator, the date is parsed once however often it is compared.
+    dated = df.withColumn("_ts", F.explode_outer(F.array(ts)))
+    at = F.col("_ts")
+    keep = (at > lit(start)) & (at <= lit(end))
     if high_water is not None:
-        keep = keep | (ts > lit(high_water))
-    return df.where(keep)
+        keep = keep | (at > lit(high_water))
+    return dated.where(keep).drop("_ts")
 
 
 def high_water_mark(df: DataFrame, date_column: str) -> DataFrame:

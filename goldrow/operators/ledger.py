@@ -92,11 +92,9 @@ def pending_window(pending: DataFrame) -> DataFrame:
 
 
 def pending_ids(pending: DataFrame) -> DataFrame:
-    """AGG-02: the batch ids, sorted, and the latest; a ledger has few rows per source."""
-    return pending.agg(
-        F.sort_array(F.collect_set("batch_id")).alias("batch_ids"),
-        F.max("batch_id").alias("latest_batch_id"),
-    )
+    """AGG-02: the batch ids as rows, each with the latest of all."""
+    latest = pending.agg(F.max("batch_id")).scalar()
+    return pending.select("batch_id").distinct().withColumn("latest_batch_id", latest)
 
 
 def transition(
@@ -167,19 +165,24 @@ def events_of(ledger: DataFrame, *, event_seq: int = 0) -> DataFrame:
 
 
 def current_state(events: DataFrame, stages: Iterable[str] = STAGES) -> DataFrame:
-    """The wide ledger: latest status per batch, source and stage."""
-    latest = latest_per_key(
-        events,
-        ["batch_id", "source_system_name", "stage"],
-        order=("event_seq",),
-        tiebreak=[F.desc_nulls_last("event_time"), F.desc_nulls_last("status")],
-    )
-    statuses = [
-        F.max(F.when(F.col("stage") == f"{s}_status", F.col("status"))).alias(f"{s}_status")
-        for s in stages
-    ]
-    return latest.groupBy("batch_id", "source_system_name").agg(
-        F.min("batch_start_time").alias("batch_start_time"),
-        F.max("batch_end_time").alias("batch_end_time"),
-        *statuses,
+    """The wide ledger: latest status per batch, source and stage, by one aggregation.
+
+    A batch's times come from the latest events of all of its stages.
+    """
+    stages = list(stages)
+    every = dict.fromkeys([*stages, *STAGES, "snowflake_sync"])
+    value = F.struct("status", "batch_start_time", "batch_end_time")
+    order = F.struct("event_seq", "event_time", "status")
+
+    def last(stage: str) -> Column:
+        own = F.col("stage") == f"{stage}_status"
+        return F.max_by(F.when(own, value), F.when(own, order)).alias(stage)
+
+    latest = events.groupBy("batch_id", "source_system_name").agg(*[last(s) for s in every])
+    return latest.select(
+        "batch_id",
+        "source_system_name",
+        F.least(*[F.col(s)["batch_start_time"] for s in every]).alias("batch_start_time"),
+        F.greatest(*[F.col(s)["batch_end_time"] for s in every]).alias("batch_end_time"),
+        *[F.col(s)["status"].alias(f"{s}_status") for s in stages],
     )

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Columns of the stage log.
 STAGE_LOG_SCHEMA = (
@@ -16,13 +18,25 @@ STAGE_LOG_SCHEMA = (
 
 
 def stage_event(
-    spark: SparkSession, *, start_time: datetime, end_time: datetime, **fields: str | None
+    outcome: DataFrame, *, start_time: datetime, end_time: datetime, **fields: str | None
 ) -> DataFrame:
-    """One stage log row; unnamed text columns are null."""
+    """One stage log row per row of ``outcome``, which says what a stage did.
+
+    Columns of ``outcome`` and the named fields fill the log's columns; others are null.
+    """
     elapsed = (end_time - start_time).total_seconds()
-    names = [c.split()[0] for c in STAGE_LOG_SCHEMA.split(", ")]
-    unknown = set(fields) - set(names)
+    schema = T.StructType.fromDDL(STAGE_LOG_SCHEMA)
+    unknown = {*fields, *outcome.columns} - set(schema.names)
     if unknown:
         raise ValueError(f"unknown stage log columns: {sorted(unknown)}")
     known = fields | {"start_time": start_time, "end_time": end_time, "time_elapsed": elapsed}
-    return spark.createDataFrame([tuple(known.get(n) for n in names)], STAGE_LOG_SCHEMA)
+    return outcome.select(
+        *[
+            (F.lit(known[f.name]) if f.name in known else F.col(f.name))
+            .cast(f.dataType)
+            .alias(f.name)
+            if f.name in known or f.name in outcome.columns
+            else F.lit(None).cast(f.dataType).alias(f.name)
+            for f in schema
+        ]
+    )

@@ -292,7 +292,7 @@ def outcome_log(
     result: DQResult,
     *,
     run_id: str,
-    batch_id: int | None,
+    batch_id: int | Column | None,
     source_identifier: str,
     source_system: str | None,
     table: str,
@@ -320,7 +320,7 @@ def reject_trail(
     result: DQResult,
     *,
     run_id: str,
-    batch_id: int | None,
+    batch_id: int | Column | None,
     source_system: str | None,
     table: str,
     rejected_at: Column,

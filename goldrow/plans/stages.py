@@ -111,7 +111,7 @@ def ingest(
     The high-water mark is taken over the rows the load leaves in place, as a scalar
     subquery of the same plan.
     """
-    path, high_water, emptied = layers.path("raw", entity.table), None, []
+    path, high_water, emptied, if_empty = layers.path("raw", entity.table), None, [], []
     if entity.load_type == "delta" and layers.has("raw", entity.table):
         target = layers.read("raw", entity.table)
         own = (F.col("Source_Name") == entity.source_system) & F.col("BATCH_ID").isin(
@@ -122,6 +122,7 @@ def ingest(
             stamps = target.where(~own).select(incremental.as_timestamp(target, column).alias("ts"))
             high_water = stamps.agg(F.max("ts")).scalar()
         emptied = [(entity.source_system, b) for b in batch_ids if b != max(batch_ids)]
+        if_empty = [(entity.source_system, max(batch_ids))]
     rows = incremental.incremental_window(
         source,
         full_load=entity.full_load,
@@ -134,7 +135,9 @@ def ingest(
     )
     rows = schema.underscore_names(rows).distinct()
     rows = schema.stamp_raw(rows, batch_ids, entity.source_system, load_time)
-    return writers.load_raw(rows, path, load_type=entity.load_type, emptied=emptied)
+    return writers.load_raw(
+        rows, path, load_type=entity.load_type, emptied=emptied, if_empty=if_empty
+    )
 
 
 def land(layers: Layers, entity: Entity, batch_ids: Sequence[int]) -> int:
@@ -188,10 +191,13 @@ def gate(
     reference = layers.read("canonical", REFERENCE_TABLE[table])
     chosen = list(rules) if rules is not None else list(rules_for(table))
     result = quality.run_chain(rows, chosen, reference, processed_at=at).written()
-    staged = writers.write_table(
-        result.staged, layers.path("staging", table), "overwrite", ("Batch_ID",)
-    )
-    common = {"run_id": run_id, "batch_id": batch_id, "source_system": source_system}
+    # A batch that is rejected as a whole leaves an empty staging table.
+    staged = writers.replace_table(result.staged, layers.path("staging", table), ("Batch_ID",))
+    taken = batch_id
+    if taken is None:
+        flagged = result.flagged
+        taken = flagged.agg(F.max(schema.require_column(flagged, "Batch_ID"))).scalar()
+    common = {"run_id": run_id, "batch_id": taken, "source_system": source_system}
     log = quality.outcome_log(
         result, source_identifier=table, table=table, started=at, ended=at, **common
     )

@@ -1,11 +1,13 @@
 """Layer writes: idempotent batch replace, first loads, publishing, snapshots (SNK-01..14).
 
-A layer table is a parquet directory partitioned by batch. No write reads the path it
-replaces.
+A layer table is a parquet directory partitioned by batch, with its schema beside the
+data: so partition text keeps its type, and a table without rows can be read. No write
+reads the path it replaces.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -21,7 +23,7 @@ from goldrow.operators.schema import (
     json_complex_columns,
     require_column,
 )
-from goldrow.sources.files import children, drop_directory, exists
+from goldrow.sources.files import children, drop_directory, exists, read_text, write_text
 
 # Spellings of a set full-load flag, and outcome words of a copy.
 TRUE_WORDS = ("TRUE", "Y", "YES", "1")
@@ -38,6 +40,25 @@ def write_mode(target_exists: bool, load_type: str, full_load: object = False) -
     return "append"
 
 
+#: File of a layer table's schema; Spark skips names that start so.
+_SCHEMA = "_layer_schema"
+
+
+def layer_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The stored schema of a layer table; None for a table written by others."""
+    text = read_text(spark, f"{path}/{_SCHEMA}")
+    return T.StructType.fromJson(json.loads(text)) if text else None
+
+
+def _store_schema(df: DataFrame, path: str, *, widen: bool) -> None:
+    """Store the schema of ``df``; ``widen`` keeps columns that only older batches have."""
+    old = layer_schema(df.sparkSession, path) if widen else None
+    known = {f.name.lower() for f in df.schema}
+    fields = [*df.schema, *[f for f in old or () if f.name.lower() not in known]]
+    nullable = [T.StructField(f.name, f.dataType) for f in fields]
+    write_text(df.sparkSession, f"{path}/{_SCHEMA}", T.StructType(nullable).json())
+
+
 def _sized(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
     """Even output files per partition; adaptive rebalancing splits a large batch."""
     return df.hint("rebalance", *partitions) if partitions else df.hint("rebalance")
@@ -59,11 +80,26 @@ def write_table(
     partitions = [require_column(df, p) for p in partition_by]
     out = _sized(df, partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
     out.write.mode(mode).partitionBy(*partitions).parquet(path)
+    _store_schema(df, path, widen=mode == "append")
     return seen.get["rows"]
 
 
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("batch_id",)) -> int:
+    """Replace a table by ``df``, also by no rows. Returns rows written."""
+    seen = Observation()
+    partitions = [require_column(df, p) for p in partition_by]
+    out = _sized(df, partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
+    out.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    _store_schema(df, path, widen=False)
+    return seen.get["rows"] or 0
+
+
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A layer table. Without a schema, columns of all batches are merged (SNK-07)."""
+    """A layer table, by its stored schema, which has the columns of all batches (SNK-07).
+
+    A table that was written by others is read by its files' merged schemas.
+    """
+    schema = schema or layer_schema(spark, path)
     if schema is not None:
         return spark.read.schema(schema).parquet(path)
     return spark.read.option("mergeSchema", "true").parquet(path)
@@ -78,11 +114,13 @@ def replace_batches(
     path: str,
     keys: Sequence[str] = ("batch_id",),
     emptied: Iterable[Sequence[object]] = (),
+    if_empty: Iterable[Sequence[object]] = (),
 ) -> int:
     """SNK-02 / SNK-03: replace the partitions that occur in ``df``, keep all others.
 
     Running it again with the same rows changes nothing. A partition whose rows are all
-    gone does not occur in ``df`` and so must be named in ``emptied`` to be dropped.
+    gone does not occur in ``df`` and so must be named to be dropped: in ``emptied``, or in
+    ``if_empty`` if it goes only where ``df`` has no rows at all.
     """
     spark = df.sparkSession
     partitions = [require_column(df, k) for k in keys]
@@ -94,10 +132,12 @@ def replace_batches(
         .partitionBy(*partitions)
         .parquet(path)
     )
-    for values in emptied:
+    rows = seen.get["rows"] or 0
+    for values in [*emptied, *(() if rows else if_empty)]:
         parts = zip(partitions, values, strict=True)
         drop_directory(spark, "/".join([path, *[f"{k}={_partition_value(v)}" for k, v in parts]]))
-    return seen.get["rows"] or 0
+    _store_schema(df, path, widen=True)
+    return rows
 
 
 def load_raw(
@@ -107,19 +147,20 @@ def load_raw(
     load_type: str,
     partition_by: Sequence[str] = ("Source_Name", "BATCH_ID"),
     emptied: Iterable[Sequence[object]] = (),
+    if_empty: Iterable[Sequence[object]] = (),
 ) -> int:
     """SNK-03..06: first load all text; later loads shaped like the target.
 
     Only a ``delta`` load replaces its own earlier batch of the same source, and drops
-    the partitions named in ``emptied``.
+    the partitions named in ``emptied``, and in ``if_empty`` if it has no rows.
     """
     spark = df.sparkSession
     if not exists(spark, path):
         return write_table(all_strings(df), path, "overwrite", partition_by)
-    target = spark.read.parquet(path).schema
+    target = read_layer(spark, path).schema
     shaped = align(df, target)
     if load_type == "delta":
-        return replace_batches(shaped, path, partition_by, emptied)
+        return replace_batches(shaped, path, partition_by, emptied, if_empty)
     return write_table(shaped, path, write_mode(True, load_type), partition_by)
 
 
@@ -128,7 +169,7 @@ def load_landing(df: DataFrame, path: str, *, full_load: object = False) -> int:
     spark = df.sparkSession
     if is_set(full_load) or not exists(spark, path):
         return write_table(df, path, "overwrite")
-    return replace_batches(align(df, spark.read.parquet(path).schema), path)
+    return replace_batches(align(df, read_layer(spark, path).schema), path)
 
 
 def append_evolving(df: DataFrame, path: str, keys: Sequence[str] = ("batch_id",)) -> int:
@@ -153,7 +194,7 @@ def reconcile_write(df: DataFrame, path: str, batch_id: int, batch: str = "BATCH
     seen = replace_batches(df, path, (batch,))
     written = 0
     if exists(spark, path):
-        table = spark.read.parquet(path)
+        table = read_layer(spark, path)
         written = table.where(col(require_column(table, batch)) == batch_id).count()
     if seen != written:
         seen = df.count()

@@ -25,5 +25,26 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return [status.getPath().getName() for status in fs.listStatus(p)]
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file of metadata, over an older one."""
+    out = file_system(spark, path).create(_path(spark, path), True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file of metadata; None if it is not there."""
+    fs, p = file_system(spark, path), _path(spark, path)
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def drop_directory(spark: SparkSession, path: str) -> bool:
     return file_system(spark, path).delete(_path(spark, path), True)

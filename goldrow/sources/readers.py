@@ -17,7 +17,7 @@ from goldrow.sources.files import children, exists
 NAME_TOKEN = "YYYYMMDDHHMMSS"
 SUFFIXES = ("csv", "txt", "parquet", "orc", "json")
 
-#: Session setting naming the lakehouse format; parquet where no such jar is present.
+#: Session setting naming the lakehouse format; without it, such a table is an error.
 LAKEHOUSE_SETTING = "goldrow.lakehouse.format"
 
 
@@ -35,7 +35,11 @@ def read_file(
     if fmt == "orc":
         return reader.orc(path)
     if fmt == "delta":
-        return reader.format(spark.conf.get(LAKEHOUSE_SETTING, "parquet")).load(path)
+        configured = spark.conf.get(LAKEHOUSE_SETTING, None)
+        if configured is None:
+            # Its files alone also hold removed and replaced rows.
+            raise ValueError(f"{path} has a table log; name its format in {LAKEHOUSE_SETTING}")
+        return reader.format(configured).load(path)
     raise ValueError(f"unsupported file format: {fmt}")
 
 

@@ -19,7 +19,6 @@ from goldrow.functions import (
 from goldrow.functions.text import STANDARDIZERS
 from goldrow.operators import canonical, dedup, incremental, ingress, schema, standardize
 from goldrow.plans.specs import FieldMap, JoinSpec, StandardizeRule
-from goldrow.session import write_through
 from workload.base import Data, derive, query
 
 # The given texts are never blank or padded, so both are added by language.
@@ -118,11 +117,6 @@ def dated(data: Data) -> DataFrame:
     )
 
 
-def landed(data: Data) -> DataFrame:
-    """The dated rows as a source file, so that the date is a column and no expression."""
-    return write_through(dated(data), "dated")
-
-
 @query(
     "scl_12_parse_timestamp",
     DATED_SQL + "SELECT o_orderkey, t, CAST(epoch_us(ts) AS BIGINT) AS micros FROM stamped",
@@ -314,7 +308,7 @@ def prj_02(data: Data) -> DataFrame:
 )
 def prj_03(data: Data) -> DataFrame:
     rows = incremental.incremental_window(
-        landed(data),
+        dated(data),
         full_load=False,
         load_type="delta",
         date_column="T",

@@ -54,19 +54,24 @@ def snk_02(data: Data) -> DataFrame:
 @query(
     "snk_03_source_scoped_replace",
     """SELECT CAST(o_orderkey AS STRING) AS o_orderkey, CASE o_orderstatus WHEN 'F' THEN 'again'
-      ELSE 'first' END AS load, CAST(1 AS BIGINT) AS "BATCH_ID", o_orderstatus AS "Source_Name"
+      ELSE 'first' END AS load, CAST(1 AS BIGINT) AS "BATCH_ID",
+      CASE o_orderstatus WHEN 'F' THEN 'ERP' WHEN 'O' THEN '007' ELSE '7' END AS "Source_Name"
     FROM orders""",
 )
 def snk_03(data: Data) -> DataFrame:
     """The same batch comes from three sources; one of them is loaded again."""
     path = scratch_path(data.spark, "scoped")
     rows = data["orders"].selectExpr(
-        "o_orderkey", "'first' AS load", "CAST(1 AS BIGINT) AS BATCH_ID", "o_orderstatus AS Source_Name"
+        "o_orderkey",
+        "'first' AS load",
+        "CAST(1 AS BIGINT) AS BATCH_ID",
+        "CASE o_orderstatus WHEN 'F' THEN 'ERP' WHEN 'O' THEN '007' ELSE '7' END AS Source_Name",
     )
+    writers.load_raw(rows.where("Source_Name = '007'"), path, load_type="delta")
     writers.load_raw(rows, path, load_type="delta")
-    again = rows.where("Source_Name = 'F'").withColumn("load", F.lit("again"))
+    again = rows.where("Source_Name = 'ERP'").withColumn("load", F.lit("again"))
     writers.load_raw(again, path, load_type="delta")
-    return writers.read_layer(data.spark, path, schema.all_strings(rows).schema)
+    return writers.read_layer(data.spark, path)
 
 
 @query(

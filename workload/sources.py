@@ -45,6 +45,7 @@ def src_03(data: Data) -> DataFrame:
 def src_04(data: Data) -> DataFrame:
     path = scratch_path(data.spark, "lakehouse")
     data["orders"].select("o_orderkey", "o_custkey", "o_orderstatus").write.parquet(path)
+    data.spark.conf.set(readers.LAKEHOUSE_SETTING, "parquet")
     return readers.read_file(data.spark, path, "delta")
 
 
