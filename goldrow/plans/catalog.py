@@ -314,13 +314,30 @@ SPACED_PATHS = {
         "type": "Type.Name",
         "iqviaTitle": "Title",
     },
-    "hcp_specialty": {"specialty": "Specialty[0]['Specialty Class']"},
-    "hcp_alternate_name": {"alternateName": "['Alternate Name'][0]['Alternate Name']"},
-    "hcp_address": {"addresses[0].addressLine1": "['HCP Address'][0]['Address Line 1']"},
-    "hcp_phone": {"phones[0].phoneNumber": "Phone[0]['Phone Number']"},
+    "hcp_specialty": {
+        "specialty": "Specialty[0]['Specialty Class']",
+        "specialtyType": "Specialty[0]['Specialty Type']",
+        "specialtyRank": "Specialty[0]['Specialty Rank'].Name",
+        "specialtyStatus": "Specialty[0]['Specialty Status'].Name",
+    },
+    "hcp_alternate_name": {
+        "alternateName": "['Alternate Name'][0]['Alternate Name']",
+        "alternateNameType": "['Alternate Name'][0]['Alternate Name Type']",
+    },
+    "hcp_address": {
+        "addresses[0].addressLine1": "['HCP Address'][0]['Address Line 1']",
+        "addresses[0].city": "['HCP Address'][0].City",
+        "addresses[0].postalCode": "['HCP Address'][0]['Postal Code']",
+        "addresses[0].country": "['HCP Address'][0].Country.Name",
+    },
+    "hcp_phone": {
+        "phones[0].phoneNumber": "Phone[0]['Phone Number']",
+        "phones[0].phoneType": "Phone[0]['Phone Type'].Name",
+    },
     "hcp_email": {"emails[0].email": "Email[0]"},
     "hcp_identification": {
         "alternateIdentifier": "['Alternate Identifier'][0]['Identifier Value']",
+        "licenseNumber": "License[0]['License Number']",
         "deaNumber": "DEA[0]['DEA Number']",
     },
     "hcp_tax": {"deaNumber": "DEA[0]['DEA Number']"},

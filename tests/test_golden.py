@@ -466,10 +466,26 @@ def test_copy_check_fails_on_mismatch(spark):
 
 
 def test_stage_event(spark):
+    outcome = spark.range(7).agg(F.count("id").alias("sub_module"))
     row = logs.stage_event(
-        spark, start_time=datetime(2024, 1, 1), end_time=datetime(2024, 1, 1, 0, 1), module="dq"
+        outcome, start_time=datetime(2024, 1, 1), end_time=datetime(2024, 1, 1, 0, 1), module="dq"
     ).first()
+    assert row["sub_module"] == "7"
     assert row["time_elapsed"] == 60.0 and row["module"] == "dq" and row["run_id"] is None
     assert len(row) == 14
     with pytest.raises(ValueError, match="unknown stage log"):
-        logs.stage_event(spark, start_time=datetime(2024, 1, 1), end_time=datetime(2024, 1, 1), x="")
+        logs.stage_event(
+            outcome, start_time=datetime(2024, 1, 1), end_time=datetime(2024, 1, 1), x=""
+        )
+
+
+@pytest.mark.parametrize("table", ["hcp_address", "hcp_specialty", "hcp_alternate_name", "hcp_phone"])
+def test_document_fields_reach_the_ingress(spark, table):
+    """No field that the derived documents carry is lost on the way."""
+    from goldrow.operators import ingress
+    from workload import Data
+    from tests.conftest import SMALL
+
+    rows = ingress.map_fields(Data(spark, SMALL)[table], ingress.field_mapping(table))
+    filled = rows.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in rows.columns]).first().asDict()
+    assert not [c for c, n in filled.items() if n == 0 and c != "Qualification"]

@@ -96,7 +96,13 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
                 "o_orderpriority || ' ' || CAST(o_orderkey AS STRING)",
                 '","City":"',
                 "o_orderstatus",
-                '"}]}',
+                '","Postal Code":"',
+                "CAST(o_custkey AS STRING)",
+                '","Country":{"Code":"',
+                "substr(o_orderpriority, 1, 1)",
+                '","Name":"',
+                "o_orderpriority",
+                '"}}]}',
             ),
         ),
     ),
@@ -120,7 +126,13 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
             "'CRM_A'",
             "'NL'",
             "20240101 + s_nationkey",
-            _json('{"Phone":[{"Phone Number":"', "s_name", '","Kind":{"a":[1,2]}}]}'),
+            _json(
+                '{"Phone":[{"Phone Number":"',
+                "s_name",
+                '","Phone Type":{"Code":"W","Name":"Work ',
+                "CAST(s_nationkey AS STRING)",
+                '"},"Kind":{"a":[1,2]}}]}',
+            ),
         ),
     ),
     "hcp_specialty": (
@@ -130,7 +142,17 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
             "p_brand",
             "'BE'",
             "20240101 + p_size",
-            _json('{"Specialty":[{"Specialty Class":"', "p_type", '","Rank":', "CAST(p_size AS STRING)", "}]}"),
+            _json(
+                '{"Specialty":[{"Specialty Class":"',
+                "p_type",
+                '","Specialty Type":"',
+                "p_brand",
+                '","Specialty Rank":{"Code":"R","Name":"',
+                "CAST(p_size AS STRING)",
+                '"},"Specialty Status":{"Name":"',
+                "CASE WHEN p_size > 25 THEN 'Active' ELSE 'Closed' END",
+                '"}}]}',
+            ),
         ),
     ),
     "hcp_email": (
@@ -152,7 +174,13 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
             "source",
             "upper(lang)",
             "20240101 + doc_id % 25",
-            _json('{"Alternate Identifier":[{"Identifier Value":"', "source || '/' || lang", '"}]}'),
+            _json(
+                '{"Alternate Identifier":[{"Identifier Value":"',
+                "source || '/' || lang",
+                '"}],"License":[{"License Number":"L',
+                "CAST(doc_id AS STRING)",
+                '"}]}',
+            ),
         ),
     ),
     "hcp_alternate_name": (
@@ -162,7 +190,13 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
             "role",
             "'NL'",
             "20240101 + turn",
-            _json('{"Alternate Name":[{"Alternate Name":"', "role || CAST(turn AS STRING)", '"}]}'),
+            _json(
+                '{"Alternate Name":[{"Alternate Name":"',
+                "role || CAST(turn AS STRING)",
+                '","Alternate Name Type":"',
+                "role",
+                '"}]}',
+            ),
         ),
     ),
     "hcp_tax": (
@@ -246,6 +280,10 @@ DERIVED: dict[str, tuple[str, dict[str, str]]] = {
         "region",
         _child("r_regionkey", "'ERP'", "r_name", "20240101 + r_regionkey", "'{}'"),
     ),
+    "hco_hco_hierarchy": (
+        "region",
+        _child("r_regionkey", "'ERP'", "r_name", "20240101 + r_regionkey", "'{}'"),
+    ),
     "hco_tax": (
         "orders",
         _child(

@@ -83,11 +83,30 @@ def prj_17(data: Data) -> DataFrame:
 # ------------------------------------------------------------------ ingress
 
 
+# Written by hand from the documents' shape, so that a wrong path in the engine's catalogue
+# is not wrong here too.
+_DOCUMENT_PATHS = {
+    ("hcp_specialty", "X_informatica_Specialty"): '$.Specialty[0]."Specialty Class"',
+    ("hcp_specialty", "X_specialty_type"): '$.Specialty[0]."Specialty Type"',
+    ("hcp_specialty", "X_informatica_rank"): '$.Specialty[0]."Specialty Rank".Name',
+    ("hcp_specialty", "X_specialty_status"): '$.Specialty[0]."Specialty Status".Name',
+    ("hcp_alternate_name", "AlternateName"): '$."Alternate Name"[0]."Alternate Name"',
+    ("hcp_alternate_name", "AlternateNameType"): '$."Alternate Name"[0]."Alternate Name Type"',
+    ("hcp_address", "X_hcp_address"): '$."HCP Address"[0]."Address Line 1"',
+    ("hcp_address", "X_hcp_city"): '$."HCP Address"[0].City',
+    ("hcp_address", "X_hcp_postal_code"): '$."HCP Address"[0]."Postal Code"',
+    ("hcp_address", "X_hcp_country"): '$."HCP Address"[0].Country.Name',
+    ("hcp_phone", "Phone"): '$.Phone[0]."Phone Number"',
+    ("hcp_phone", "X_phone_type"): '$.Phone[0]."Phone Type".Name',
+    ("hcp_identification", "X_informatica_License"): '$.License[0]."License Number"',
+}
+
+
 def _ingress_sql(table: str) -> str:
     items = []
     for source, target in ingress.field_mapping(table).items():
         if source.startswith("json:"):
-            path = sql_path(source.removeprefix("json:"))
+            path = _DOCUMENT_PATHS.get((table, target)) or sql_path(source.removeprefix("json:"))
             value = f"json_extract_string({_document()}, '{path}')"
         else:
             value = f'"{source}"'

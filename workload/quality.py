@@ -173,7 +173,7 @@ def jon_08(data: Data) -> DataFrame:
 def _sweep_sql() -> str:
     """Oracle of the sweep, written per table from the catalogue's rules."""
     parts = []
-    tables = {r.table: None for r in DQ_RULES if r.table != "hco_hco_hierarchy"}
+    tables = {r.table: None for r in DQ_RULES}
     for table in tables:
         conditions = []
         for rule in rules_for(table):
@@ -195,7 +195,7 @@ def _sweep_sql() -> str:
 
 @query("jon_09_sweep", _sweep_sql())
 def jon_09(data: Data) -> DataFrame:
-    tables = {r.table: data[r.table] for r in DQ_RULES if r.table != "hco_hco_hierarchy"}
+    tables = {r.table: data[r.table] for r in DQ_RULES}
     results, _ = quality.sweep(tables, processed_at=now())
     return quality.sweep_summary(results)
 
