@@ -145,9 +145,12 @@ def layer_difference(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def anchor_check(flows: Mapping[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """AGG-16: a mart may not have more rows than the view it is anchored on."""
+    """AGG-16: a mart may not have more rows than the view it is anchored on.
+
+    A flow is the view and a one-row frame with the mart's ``row_count``.
+    """
     staging = table_counts({f: pair[0] for f, pair in flows.items()})
-    marts = table_counts({f: pair[1] for f, pair in flows.items()})
+    marts = _tagged({f: pair[1] for f, pair in flows.items()})
     both = staging.withColumnRenamed("row_count", "staging_rows").join(
         marts.withColumnRenamed("row_count", "marts_rows"), "table_name"
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,6 +66,38 @@ def _consolidate(
     return out.select(KEY, *[t for _, _, t in columns])
 
 
+def _consolidated_rows(
+    views: Mapping[str, DataFrame], anchor: str, columns: Sequence[tuple[str, str, str]]
+) -> DataFrame:
+    """Rows a consolidation has (``row_count``), without building it.
+
+    A key gives the product of its rows in the views; a view without it counts once. Rows
+    without a key stay alone. Views are counted per key in one shuffle.
+    """
+    names = [anchor, *dict.fromkeys(v for v, _, _ in columns if v != anchor)]
+    keys = reduce(
+        lambda a, b: a.unionByName(b),
+        [views[v].select(F.col(KEY).alias("k"), F.lit(i).alias("v")) for i, v in enumerate(names)],
+    )
+    per_key = keys.groupBy("k").agg(
+        *[F.count_if(F.col("v") == i).alias(f"n{i}") for i in range(len(names))]
+    )
+    product = F.col("n0")
+    for i in range(1, len(names)):
+        product = product * F.when(F.col("k").isNull(), 1).otherwise(F.greatest(F.col(f"n{i}"), F.lit(1)))
+    return per_key.agg(F.coalesce(F.sum(product), F.lit(0)).alias("row_count"))
+
+
+def person_rows(views: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of ``consolidate_person``."""
+    return _consolidated_rows(views, catalog.PERSON_ANCHOR, catalog.PERSON_COLUMNS)
+
+
+def organization_rows(views: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of ``consolidate_organization``."""
+    return _consolidated_rows(views, catalog.ORGANIZATION_ANCHOR, catalog.ORGANIZATION_COLUMNS)
+
+
 def consolidate_person(
     views: Mapping[str, DataFrame],
     *,

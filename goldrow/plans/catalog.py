@@ -56,10 +56,36 @@ _ADDRESS = "Reject records if no complete address is present or source_fk is not
 _AFFILIATION = "Reject records in name table if source id is not present"
 _HIERARCHY = "Reject records if source id is not present in name table"
 
-
-def _orphan(what: str) -> str:
-    return f"Reject records if the value of the source_fk is not present in {what}"
-
+_NO_EMAIL = (
+    "Reject records if the value of the source_fk is not present in email table"
+)
+_NO_ALTERNATE_NAME = (
+    "Reject records if the value of the source_fk is not present in alternate name table"
+)
+_NO_IDENTIFICATION = (
+    "Reject records if the value of the source_fk is not present in identification table"
+)
+_NO_SPECIALTY = (
+    "Reject records if the value of the source_fk is not present in specialty table"
+)
+_NO_PHONE = (
+    "Reject records if the value of the source_fk is not present in phone table"
+)
+_NO_EDUCATION = (
+    "Reject records if the value of the source_fk is not present in education table"
+)
+_NO_ORIGIN_UNIVERSITY = (
+    "Reject records if the value of the source_fk is not present in origin university table"
+)
+_NO_TABLE = (
+    "Reject records if the value of the source_fk is not present in table"
+)
+_NO_TENDENCIES = (
+    "Reject records if the value of the source_fk is not present in tendencies table"
+)
+_NO_LANGUAGE = (
+    "Reject records if the value of the source_fk is not present in language table"
+)
 
 # Fixed values: (table, rule, column, description) of the rule catalogue, in execution order.
 DQ_RULES = tuple(
@@ -71,24 +97,24 @@ DQ_RULES = tuple(
         ("hco_name", "name_address_completeness_check", "iqvia_id", _COMPLETE),
         ("hcp_address", "address_mdr_check", "iqvia_id", _ADDRESS),
         ("hco_address", "address_mdr_check", "iqvia_id", _ADDRESS),
-        ("hcp_email", "mdr_check", "iqvia_id", _orphan("email table")),
-        ("hcp_alternate_name", "mdr_check", "iqvia_id", _orphan("alternate name table")),
-        ("hcp_identification", "mdr_check", "iqvia_id", _orphan("identification table")),
-        ("hcp_specialty", "mdr_check", "iqvia_id", _orphan("specialty table")),
-        ("hcp_phone", "mdr_check", "iqvia_id", _orphan("phone table")),
-        ("hcp_education", "mdr_check", "iqvia_id", _orphan("education table")),
-        ("hcp_origin_university", "mdr_check", "iqvia_id", _orphan("origin university table")),
-        ("hcp_tax", "mdr_check", "iqvia_id", _orphan("table")),
-        ("hco_tax", "mdr_check", "iqvia_id", _orphan("table")),
-        ("hco_email", "mdr_check", "iqvia_id", _orphan("email table")),
-        ("hco_alternate_name", "mdr_check", "iqvia_id", _orphan("alternate name table")),
-        ("hco_identification", "mdr_check", "iqvia_id", _orphan("identification table")),
-        ("hco_specialty", "mdr_check", "iqvia_id", _orphan("specialty table")),
-        ("hco_phone", "mdr_check", "iqvia_id", _orphan("phone table")),
+        ("hcp_email", "mdr_check", "iqvia_id", _NO_EMAIL),
+        ("hcp_alternate_name", "mdr_check", "iqvia_id", _NO_ALTERNATE_NAME),
+        ("hcp_identification", "mdr_check", "iqvia_id", _NO_IDENTIFICATION),
+        ("hcp_specialty", "mdr_check", "iqvia_id", _NO_SPECIALTY),
+        ("hcp_phone", "mdr_check", "iqvia_id", _NO_PHONE),
+        ("hcp_education", "mdr_check", "iqvia_id", _NO_EDUCATION),
+        ("hcp_origin_university", "mdr_check", "iqvia_id", _NO_ORIGIN_UNIVERSITY),
+        ("hcp_tax", "mdr_check", "iqvia_id", _NO_TABLE),
+        ("hco_tax", "mdr_check", "iqvia_id", _NO_TABLE),
+        ("hco_email", "mdr_check", "iqvia_id", _NO_EMAIL),
+        ("hco_alternate_name", "mdr_check", "iqvia_id", _NO_ALTERNATE_NAME),
+        ("hco_identification", "mdr_check", "iqvia_id", _NO_IDENTIFICATION),
+        ("hco_specialty", "mdr_check", "iqvia_id", _NO_SPECIALTY),
+        ("hco_phone", "mdr_check", "iqvia_id", _NO_PHONE),
         ("hcp_hco_affiliation", "affiliation_mdr_check", "iqvia_id", _AFFILIATION),
         ("hco_hco_hierarchy", "hierarchy_mdr_check", "iqvia_id", _HIERARCHY),
-        ("hcp_tendencies", "mdr_check", "iqvia_id", _orphan("tendencies table")),
-        ("hcp_language", "mdr_check", "iqvia_id", _orphan("language table")),
+        ("hcp_tendencies", "mdr_check", "iqvia_id", _NO_TENDENCIES),
+        ("hcp_language", "mdr_check", "iqvia_id", _NO_LANGUAGE),
     )
 )
 
@@ -356,6 +382,22 @@ SPACED_PATHS = {
     "hco_tax": {"taxId": "['Tax Id']"},
 }
 
+# The person name projection, as (output, input, type); the hashed key and the
+# full name are functions of their inputs.
+PERSON_NAME = (
+    ("Name_PK", ("individualEid",), "hashed_key"),
+    ("firstName", ("firstName",), "string"),
+    ("middleName", ("middleName",), "string"),
+    ("lastName", ("lastName",), "string"),
+    ("Full_Name", ("firstName", "middleName", "lastName"), "full_name"),
+    ("genderCode", ("genderCode",), "string"),
+    ("Country", ("countryCode",), "string"),
+    ("individualEid", ("individualEid",), "string"),
+    ("Source_Name", ("Source_Name",), "string"),
+    ("LOAD_DATE", ("LOAD_DATE",), "timestamp"),
+    ("BATCH_ID", ("BATCH_ID",), "bigint"),
+)
+
 # Ingress table -> published target(s).
 INGRESS_TARGETS = {
     "hcp_name": ("hcp",),

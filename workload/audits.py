@@ -254,10 +254,10 @@ def agg_16_anchor(data: Data) -> DataFrame:
     people, places = person_views(data), organization_views(data)
     return audit.anchor_check(
         {
-            "name -> person": (people["hcp_name"], marts.consolidate_person(people)),
+            "name -> person": (people["hcp_name"], marts.person_rows(people)),
             "address -> organization": (
                 places["hco_address"],
-                marts.consolidate_organization(places),
+                marts.organization_rows(places),
             ),
         }
     )
