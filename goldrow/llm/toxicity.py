@@ -186,7 +186,8 @@ def train(
     n_toxic, n_docs = toxic.count(), rows.count()
     toxic = toxic.where(place < positives / max(n_toxic, 1))
     some = rows.where(place < unlabelled / max(n_docs, 1)).withColumn("positive", F.lit(False))
-    chosen = rows.join(toxic, "id", "left_semi").withColumn("positive", F.lit(True))
+    # Hashes are even, so the sampled keys are about ``positives`` at any size.
+    chosen = rows.join(F.broadcast(toxic), "id", "left_semi").withColumn("positive", F.lit(True))
     sample = write_through(chosen.unionByName(some), "toxicity-sample")
     counts = {r["positive"]: r["count"] for r in sample.groupBy("positive").count().collect()}
     prior = min(max(prior, 1e-6), 1 - 1e-6)
