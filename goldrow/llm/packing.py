@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from goldrow.llm.ranks import rank_in_groups
 from goldrow.llm.tokens import Encoder
-from goldrow.llm.words import blocks, schema_with, texts_of, word_table
+from goldrow.llm.words import as_row, blocks, of_row, schema_with, texts_of, word_table
 
 CAPACITY = 4096
 #: Nodes the search visits, after its first descent, before it settles for its incumbent.
@@ -51,25 +51,26 @@ def token_pieces(
         config = file.read()
     new = ("piece", "start", "length", "ids")
     kept = [c for c in df.columns if c not in new and c != text]
-    schema = schema_with(df, kept, "piece int, start bigint, length bigint, ids binary")
+    rows = df.select(as_row(kept), F.col(f"`{text}`").alias("text"))
+    schema = schema_with(rows, ["row"], "piece int, start bigint, length bigint, ids binary")
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(config)
-        for block in blocks(batches, text):
-            ids = encoder.encode(word_table(texts_of(block, text)), end)
+        for block in blocks(batches, "text"):
+            ids = encoder.encode(word_table(texts_of(block)), end)
             sizes = np.diff(ids.offsets.to_numpy())
             data = pa.py_buffer(np.ascontiguousarray(ids.values.to_numpy().astype("<u4")))
             pieces = -(-sizes // capacity)
-            rows = np.repeat(np.arange(len(sizes)), pieces)
-            number = np.arange(len(rows)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+            owner = np.repeat(np.arange(len(sizes)), pieces)
+            number = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
             start = number * capacity
-            length = np.minimum(sizes[rows] - start, capacity)
+            length = np.minimum(sizes[owner] - start, capacity)
             ends = np.cumsum(length)
             a = 0
-            while a < len(rows):
+            while a < len(owner):
                 base = ends[a] - length[a]
                 b = max(a + 1, int(np.searchsorted(ends, base + BATCH_IDS, side="right")))
-                part = block.select(kept).take(pa.array(rows[a:b]))
+                row = block.column("row").take(pa.array(owner[a:b]))
                 offsets = np.concatenate([[base], ends[a:b]])
                 own = data.slice(4 * int(base), 4 * int(ends[b - 1] - base))
                 binary = pa.Array.from_buffers(
@@ -78,11 +79,10 @@ def token_pieces(
                     [None, pa.py_buffer((4 * (offsets - base)).astype(np.int32)), own],
                 )
                 columns = [pa.array(number[a:b], pa.int32()), pa.array(start[a:b]), pa.array(length[a:b])]
-                yield pa.RecordBatch.from_arrays([*part.columns, *columns, binary], names=schema.names)
+                yield pa.RecordBatch.from_arrays([row, *columns, binary], names=schema.names)
                 a = b
 
-    columns = [f"`{c}`" for c in [*kept, text]]
-    return df.select(*columns).mapInArrow(task, schema)
+    return rows.mapInArrow(task, schema).select(*of_row(kept), *new)
 
 
 @dataclass(frozen=True)

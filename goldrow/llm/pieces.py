@@ -21,8 +21,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from goldrow.llm.words import blocks, schema_with, texts_of
+from goldrow.llm.words import as_row, blocks, of_row, schema_with, texts_of
 
 #: White space inside SentencePiece texts.
 MARKER = "▁"
@@ -130,15 +131,17 @@ def _small(ids: pa.Array) -> Iterator[tuple[int, int]]:
         start = stop
 
 
-def _encoding(model: bytes, end: bool, text: str, kept: list[str], out: str):
+def _encoding(model: bytes, end: bool):
+    """Task: rows (row, text) to (row, ids)."""
+
     def task(batches) -> Iterator[pa.RecordBatch]:
         encoder = _Encoder(model, end)
-        for block in blocks(batches, text, BLOCK_BYTES):
-            ids = encoder.encode(texts_of(block, text))
+        for block in blocks(batches, "text", BLOCK_BYTES):
+            ids = encoder.encode(texts_of(block))
             for start, stop in _small(ids):
-                part = block.slice(start, stop - start).select(kept)
                 column = ids.slice(start, stop - start).cast(pa.list_(pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, column], names=[*kept, out])
+                row = block.column("row").slice(start, stop - start)
+                yield pa.RecordBatch.from_arrays([row, column], names=["row", "ids"])
             del ids
             pa.default_memory_pool().release_unused()
 
@@ -153,8 +156,11 @@ def encode(
     columns stay. The model is read on the driver and travels with the tasks.
     """
     kept = [c for c in df.columns if c != out]
-    schema = schema_with(df, kept, f"`{out}` array<int>")
-    return df.mapInArrow(_encoding(_read(model_file), end, text, kept, out), schema)
+    rows = df.select(as_row(kept), F.col(f"`{text}`").alias("text"))
+    done = rows.mapInArrow(
+        _encoding(_read(model_file), end), schema_with(rows, ["row"], "ids array<int>")
+    )
+    return done.select(*of_row(kept), F.col("ids").alias(out))
 
 
 class _Decoder:
@@ -195,14 +201,15 @@ class _Decoder:
         return out
 
 
-def _decoding(model: bytes, ids: str, kept: list[str], out: str):
+def _decoding(model: bytes):
+    """Task: rows (row, ids) to (row, ids, decoded)."""
+
     def task(batches) -> Iterator[pa.RecordBatch]:
         decoder = _Decoder(model)
         empty = pa.scalar([], pa.list_(pa.int32()))
         for batch in batches:
-            texts = decoder.decode(pc.fill_null(batch.column(ids), empty))
-            columns = [*batch.select(kept).columns, pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*kept, out])
+            texts = pa.array(decoder.decode(pc.fill_null(batch.column("ids"), empty)), pa.string())
+            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=["row", "ids", "decoded"])
 
     return task
 
@@ -210,8 +217,10 @@ def _decoding(model: bytes, ids: str, kept: list[str], out: str):
 def decode(df: DataFrame, model_file: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """Add ``out`` (string): exactly the library's text of the ids; null ids give ''."""
     kept = [c for c in df.columns if c != out]
-    schema = schema_with(df, kept, f"`{out}` string")
-    return df.mapInArrow(_decoding(_read(model_file), ids, kept, out), schema)
+    rows = df.select(as_row(kept), F.col(f"`{ids}`").cast("array<int>").alias("ids"))
+    schema = schema_with(rows, ["row", "ids"], "decoded string")
+    done = rows.mapInArrow(_decoding(_read(model_file)), schema)
+    return done.select(*of_row(kept), F.col("decoded").alias(out))
 
 
 def round_trip(
@@ -225,11 +234,11 @@ def round_trip(
     """``encode``, then ``decode`` of its ids, in one pass; the text is left out."""
     model = _read(model_file)
     kept = [c for c in df.columns if c not in (text, ids, out)]
-    schema = schema_with(df, kept, f"`{ids}` array<int>, `{out}` string")
-    first = _encoding(model, end, text, kept, ids)
-    then = _decoding(model, ids, [*kept, ids], out)
-    columns = [f"`{c}`" for c in [*kept, text]]
-    return df.select(*columns).mapInArrow(lambda batches: then(first(batches)), schema)
+    rows = df.select(as_row(kept), F.col(f"`{text}`").alias("text"))
+    schema = schema_with(rows, ["row"], "ids array<int>, decoded string")
+    first, then = _encoding(model, end), _decoding(model)
+    done = rows.mapInArrow(lambda batches: then(first(batches)), schema)
+    return done.select(*of_row(kept), F.col("ids").alias(ids), F.col("decoded").alias(out))
 
 
 def _read(path: str) -> bytes:

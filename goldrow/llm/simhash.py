@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrow.llm.components import components
-from goldrow.llm.words import blocks, schema_with, texts_of, word_table
+from goldrow.llm.words import as_row, blocks, of_row, schema_with, texts_of, word_table
 from goldrow.session import write_through
 
 #: Words of a shingle.
@@ -80,17 +80,17 @@ def fingerprint(
     words, or a null one, has fingerprint 0.
     """
     kept = [c for c in df.columns if c not in (out, text)]
-    schema = schema_with(df, kept, f"`{out}` bigint")
+    rows = df.select(as_row(kept), F.col(f"`{text}`").alias("text"))
+    schema = schema_with(rows, ["row"], "fp bigint")
 
     def task(batches) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text):
-            values = _fingerprints(pc.ascii_lower(texts_of(block, text)), words, seed)
-            part = block.select(kept)
+        for block in blocks(batches, "text"):
+            values = _fingerprints(pc.ascii_lower(texts_of(block)), words, seed)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(values.view(np.int64))], names=schema.names
+                [block.column("row"), pa.array(values.view(np.int64))], names=schema.names
             )
 
-    return df.select(*[f"`{c}`" for c in [*kept, text]]).mapInArrow(task, schema)
+    return rows.mapInArrow(task, schema).select(*of_row(kept), F.col("fp").alias(out))
 
 
 @dataclass(frozen=True)
@@ -213,7 +213,11 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments with one wildcard find up to 3 differing bits")
-    rows = fingerprints.select("fp").distinct()
+    # Dealt out before each becomes 64 rows; few fingerprints would else be one task's.
+    partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = write_through(
+        fingerprints.select("fp").distinct().repartition(partitions, "fp"), "distinct-fingerprints"
+    )
     found = None
     for level in range(len(LEVEL_BITS)):
         signed = _with_signatures(rows, level)
@@ -261,7 +265,8 @@ def near_duplicates(
         "fingerprints",
     )
     classes = rows.groupBy("fp").agg(F.min("id").alias("first"))
-    grouped = components(links(rows, max_bits)).withColumnRenamed("node", "fp")
+    found = write_through(links(rows, max_bits), "fingerprint-links")
+    grouped = components(found).withColumnRenamed("node", "fp")
     named = write_through(
         classes.join(grouped, "fp", "left").withColumn("component", F.coalesce("component", "fp")),
         "classes",

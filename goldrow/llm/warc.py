@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyarrow.fs import FileSelector, FileSystem, FileType
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull
 from pyspark.sql.types import StructType
 
 from goldrow.session import write_through
@@ -148,7 +148,7 @@ def write_warc(
 
 
 class Archive(InputPartition):
-    def __init__(self, path: str):
+    def __init__(self, path: str | None):
         self.path = path
 
 
@@ -173,6 +173,7 @@ class WarcReader(DataSourceReader):
         self.columns = schema.fieldNames()
         self.path = options["path"]
         self.verify = options.get("verify", "false").lower() == "true"
+        self.present: list[str] = []
         prefix = "header."
         self.wanted = [
             (k[len(prefix) :].lower(), {v}) for k, v in options.items() if k.startswith(prefix)
@@ -180,12 +181,16 @@ class WarcReader(DataSourceReader):
 
     def pushFilters(self, filters):
         for f in filters:
-            header = _HEADER_OF.get(f.attribute[0]) if isinstance(f, EqualTo | In) else None
-            if header is None or f.attribute[0] == "payload_digest":
+            known = isinstance(f, EqualTo | In | IsNotNull)
+            header = _HEADER_OF.get(f.attribute[0]) if known else None
+            if header is None:
                 yield f
+            elif isinstance(f, IsNotNull):
+                self.present.append(header)
             else:
                 values = f.value if isinstance(f, In) else [f.value]
-                self.wanted.append((header, set(values)))
+                prefix = "sha1:" if f.attribute[0] == "payload_digest" else ""
+                self.wanted.append((header, {f"{prefix}{v}" for v in values}))
 
     def partitions(self) -> list[Archive]:
         fs, root = FileSystem.from_uri(self.path)
@@ -194,13 +199,16 @@ class WarcReader(DataSourceReader):
             return [Archive(root)]
         files = fs.get_file_info(FileSelector(root, recursive=True))
         hidden = ("_", ".")
-        return [
+        found = [
             Archive(f.path)
             for f in files
             if f.type == FileType.File and not f.base_name.startswith(hidden) and f.size
         ]
+        return found or [Archive(None)]
 
     def read(self, partition: Archive) -> Iterator[pa.RecordBatch]:
+        if partition.path is None:
+            return
         fs, _ = FileSystem.from_uri(self.path)
         rows, held = [], 0
         with io.BufferedReader(fs.open_input_file(partition.path), 1 << 20) as stream:
@@ -222,7 +230,9 @@ class WarcReader(DataSourceReader):
                 raise ValueError(f"{path}: no WARC record at byte {stream.tell() - len(line)}")
             headers = _headers(stream)
             length = int(headers["content-length"])
-            if any(headers.get(name) not in values for name, values in self.wanted):
+            if any(headers.get(name) not in values for name, values in self.wanted) or any(
+                name not in headers for name in self.present
+            ):
                 stream.seek(length, io.SEEK_CUR)
                 continue
             payload = None

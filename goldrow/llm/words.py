@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Text bytes of a block. A longer single text is a block of its own.
@@ -27,6 +28,15 @@ def schema_with(df: DataFrame, columns: list[str], new: str) -> StructType:
     )
 
 
+def as_row(columns: list[str]) -> Column:
+    """Columns of any names as one struct ``row``, which tasks pass through."""
+    return F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row")
+
+
+def of_row(columns: list[str]) -> list[Column]:
+    return [F.col("row")[c].alias(c) for c in columns]
+
+
 def blocks(batches, column: str = "text", limit: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches into blocks of at most ``limit`` bytes of ``column``."""
     for batch in batches:
