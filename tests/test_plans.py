@@ -60,4 +60,5 @@ def test_rule_chain_joins_its_reference_once(spark):
 
     rules = [ADDRESS_CHAIN[1], ADDRESS_CHAIN[0], ADDRESS_CHAIN[1]]
     plan = physical(quality.run_chain(data["dirty_address"], rules, data["hcp_name"]).flagged)
-    assert len(re.findall(r"(?:BroadcastHashJoin|SortMergeJoin) ", plan)) == 1
+    # Other joins only bring the small table of heavy keys to the rows.
+    assert len(re.findall(r"Join \[_dq_key#\d+, _a#", plan)) == 1
