@@ -39,6 +39,8 @@ SHALLOW = 2
 GROUP_CONTEXTS = 4096
 #: Contexts that a task sorts together.
 BUCKET_CONTEXTS = 16_384
+#: Contexts that a task remembers as sent before it starts anew.
+SEEN_CONTEXTS = 500_000
 #: Window starts that are hashed at a time.
 SEGMENT = 1 << 20
 
@@ -128,10 +130,12 @@ def _list_anchors(batches) -> Iterator[pa.RecordBatch]:
 
 
 def _cut_contexts(batches) -> Iterator[pa.RecordBatch]:
-    """Rows (h, c, id, at, context); of equal contexts of a block only one has the bytes."""
+    """Rows (h, c, id, at, context); of equal contexts of a task about one has the bytes."""
+    seen: set[tuple[int, int]] = set()
     for block in blocks(batches, "text", 4 << 20):
         out: list[list] = [[], [], [], [], []]
-        seen: set[tuple[int, int]] = set()
+        if len(seen) > SEEN_CONTEXTS:
+            seen.clear()
         texts, ids = texts_of(block), block.column("id").to_pylist()
         lists = block.column("anchors")
         h_all = lists.values.field("h").to_pylist()
@@ -217,6 +221,8 @@ def suffix_order(rows: np.ndarray, shallow: int) -> tuple[np.ndarray, np.ndarray
     """Sorted order of byte rows of one width, and each row's common prefix with the one
     before it (0 for the first)."""
     n, width = rows.shape
+    if not n:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     padded = np.zeros((n, -(-width // 8) * 8), np.uint8)
     padded[:, :width] = rows
     words = padded.view(">u8").astype(np.uint64)
