@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrow.operators.schema import col, quoted
@@ -201,16 +201,24 @@ def not_null_tests(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _tagged(parts).withColumn("status", status)
 
 
-def column_catalog(spark: SparkSession, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Columns of tables as rows: table_name, column_name, data_type, ordinal_position."""
-    rows = [
-        (t, f.name, f.dataType.simpleString(), i)
-        for t, df in tables.items()
-        for i, f in enumerate(df.schema, 1)
-    ]
-    return spark.createDataFrame(
-        rows, "table_name string, column_name string, data_type string, ordinal_position int"
-    )
+def column_catalog(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Columns of tables as rows: table_name, column_name, data_type, ordinal_position, and
+    filled_rows, the rows that have a value there. Each table is read once."""
+
+    def one(df: DataFrame) -> DataFrame:
+        filled = df.agg(*[F.count(col(f.name)).alias(f"_{i}") for i, f in enumerate(df.schema)])
+        rows = [
+            F.struct(
+                F.lit(f.name).alias("column_name"),
+                F.lit(f.dataType.simpleString()).alias("data_type"),
+                F.lit(i + 1).alias("ordinal_position"),
+                F.col(f"_{i}").alias("filled_rows"),
+            )
+            for i, f in enumerate(df.schema)
+        ]
+        return filled.select(F.inline(F.array(*rows)))
+
+    return _tagged({t: one(df) for t, df in tables.items()})
 
 
 def tables_with_column(columns: DataFrame, name: str) -> DataFrame:

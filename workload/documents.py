@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -348,3 +350,55 @@ def doc_09_all(data: Data) -> DataFrame:
     for more in counts[1:]:
         out = out.unionAll(more)
     return out
+
+
+def nested_organization(data: Data) -> DataFrame:
+    """One nested model per text: its lines are addresses and, with a comma, relations."""
+    empty = "array_remove(array(named_struct('code', '')), named_struct('code', ''))"
+    lists = [
+        f"{empty} AS {name}"
+        for name in documents.ORGANIZATION_LISTS
+        if name not in ("addresses", "relations")
+    ]
+    return data["documents"].selectExpr(
+        "named_struct('organizationEid', CAST(doc_id AS STRING), 'name', source) AS organization",
+        f"transform({LINES}, x -> named_struct('addressLine1', x, 'city', source)) AS addresses",
+        f"""transform(filter({LINES}, x -> x LIKE '%,%'), x -> named_struct('organizationEid',
+          'own', 'parent', lang, 'text', x)) AS relations""",
+        *lists,
+    )
+
+
+@query(
+    "doc_09_organization_relations",
+    LINES_SQL
+    + """SELECT "organizationEid", row_number() OVER (PARTITION BY "organizationEid" ORDER BY i) - 1
+      AS position, parent, text FROM (SELECT CAST(request_id AS STRING) AS "organizationEid", i,
+      lang AS parent, x AS text FROM (SELECT l.*, d.lang FROM lines l JOIN documents d
+      ON d.doc_id = l.request_id) WHERE x LIKE '%,%')""",
+)
+def doc_09_relations(data: Data) -> DataFrame:
+    tables = documents.split_children(
+        nested_organization(data), "organization", "organizationEid", documents.ORGANIZATION_LISTS
+    )
+    return tables["relations"]
+
+
+@query(
+    "doc_09_organization_tables",
+    LINES_SQL
+    + """, c AS (SELECT 'organization' AS child, count(*) AS n FROM documents UNION ALL
+      SELECT 'addresses', count(*) FROM lines UNION ALL
+      SELECT 'relations', count(*) FILTER (WHERE x LIKE '%,%') FROM lines)
+    SELECT child, n FROM c UNION ALL SELECT child, 0 FROM (VALUES ('identifiers'),
+      ('specialties'), ('phones'), ('alternativeNames')) AS t(child)""",
+)
+def doc_09_organization_tables(data: Data) -> DataFrame:
+    tables = documents.split_children(
+        nested_organization(data), "organization", "organizationEid", documents.ORGANIZATION_LISTS
+    )
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("child"), "n")
+        for t, df in tables.items()
+    ]
+    return reduce(DataFrame.unionAll, counts)
