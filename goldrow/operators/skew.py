@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldrow.session import write_through
+
 #: Pieces for each shuffle partition; many even out how salts fall to partitions.
 PIECES_PER_PARTITION = 16
 
@@ -153,22 +155,40 @@ def left_join_all(
     keys = list(keys)
     pieces = default_pieces(anchor) if pieces is None else pieces
     tables = (anchor, *others)
-    ways = reduce(
+    # One counting pass over the keys of all tables. A piece is a share of all their rows, so
+    # a key of a small table is not heavy however few keys that has.
+    counted = reduce(
         lambda a, b: a.unionByName(b),
-        [
-            key_ways(t, keys, pieces, "_ways").withColumn("_table", F.lit(i))
-            for i, t in enumerate(tables)
-        ],
+        [_with_key(t.select(*keys), keys).withColumn("_table", F.lit(i)) for i, t in enumerate(tables)],
     )
+    counted = counted.groupBy(*keys, "_table").agg(F.count(F.lit(1)).alias("_rows"))
+    total = counted.agg(F.sum("_rows")).scalar()
+    filled = F.col("_rows") * pieces
+    ways = counted.where(filled > total).withColumn("_ways", F.ceil(filled / total).cast("int"))
     # One row per key that is heavy in any table, with its ways in each.
     each = [F.max(F.when(F.col("_table") == i, F.col("_ways"))) for i in range(len(tables))]
     heavy = ways.groupBy(*keys).agg(
         *[F.coalesce(w, F.lit(1)).alias(f"_w{i}") for i, w in enumerate(each)]
     )
+    # Stored, as every join below reads it.
+    heavy = write_through(heavy, "heavy-keys")
     hot = F.broadcast(heavy.select(*keys))
 
-    cold = [_with_key(t, keys).join(hot, keys, "left_anti") for t in tables]
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    with_key = [_with_key(t, keys) for t in tables]
+    split = not heavy.isEmpty()
+    cold = [t.join(hot, keys, "left_anti") for t in with_key] if split else with_key
     ordinary = reduce(lambda l, r: l.join(r, keys, "left"), cold)
+    columns = ordinary.columns
+    absent = [
+        F.lit(None).cast(f.dataType).alias(f.name)
+        for f in ordinary.schema
+        if f.name not in anchor.columns
+    ]
+    alone = anchor.where(no_key).select(*anchor.columns, *absent)
+    ordinary = ordinary.unionByName(alone)
+    if not split:
+        return ordinary
     out = _with_key(anchor, keys).join(hot, keys, "left_semi")
     # What is joined already fills the product of its tables' ways.
     filled = F.col("_w0")
@@ -179,15 +199,4 @@ def left_join_all(
         rows = table.join(hot, keys, "left_semi")
         out = spread_join(out, rows, keys, "left", pieces=pieces, grid=grid)
         filled = F.least(filled * F.col(f"_w{i}"), F.lit(pieces))
-    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-    alone = anchor.where(no_key)
-    absent = [
-        F.lit(None).cast(f.dataType).alias(f.name)
-        for f in out.schema
-        if f.name not in anchor.columns
-    ]
-    return (
-        ordinary.select(*out.columns)
-        .unionByName(out)
-        .unionByName(alone.select(*anchor.columns, *absent).select(*out.columns))
-    )
+    return ordinary.unionByName(out.select(*columns))
