@@ -213,11 +213,10 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """
     if not 0 <= max_bits <= 3:
         raise ValueError("two segments with one wildcard find up to 3 differing bits")
-    # Dealt out before each becomes 64 rows; few fingerprints would else be one task's.
     partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = write_through(
-        fingerprints.select("fp").distinct().repartition(partitions, "fp"), "distinct-fingerprints"
-    )
+    distinct = write_through(fingerprints.select("fp").distinct(), "distinct-fingerprints")
+    # Dealt out before each becomes 64 rows: few, small files would else be one task's.
+    rows = distinct.repartition(partitions, "fp")
     found = None
     for level in range(len(LEVEL_BITS)):
         signed = _with_signatures(rows, level)
