@@ -4,9 +4,10 @@ A model sees a text as its words. A symbol is predicted from the up to three bef
 its word; the border of a word is a symbol too. So the score of a word is the same wherever
 it stands: blocks of texts count and score each distinct word once.
 
-Spark counts the four-symbol grams of all words. A gram rarer than one in ``2**20`` of its
-language's gram tokens is left to its shorter context; that share, the same at every size,
-bounds a model by ``2**20`` grams. Shorter contexts count the distinct symbols before them.
+Spark counts the four-symbol grams of all words, and a model keeps every one of them: the
+discounts are estimated from how many grams occur once to four times, and shorter contexts
+count the distinct symbols before them, so a gram left out would bend both. Grams are those
+of distinct words, whose number grows far slower than the text.
 A model is stored as sorted arrays of gram hashes beside log probabilities, and of context
 hashes beside log back-off weights.
 """
@@ -25,8 +26,8 @@ from pyspark.sql import functions as F
 from goldrow.llm.words import blocks, texts_of, word_table
 
 ORDER = 4
-#: Rarest share of gram tokens that is kept, as a power of two.
-SHARE_BITS = 20
+#: Distinct grams of all languages that models are built from in the driver's memory.
+MAX_GRAMS = 1 << 23
 #: Bits of a symbol in a gram; symbols of equal low bits are one.
 _BITS = 16
 _BORDER = " "
@@ -190,18 +191,16 @@ class Model:
         return out
 
 
-def fit(counts: DataFrame, modified: bool, share_bits: int = SHARE_BITS) -> dict[str, Model]:
-    """A model per language from a stored table of counts.
+def fit(counts: DataFrame, modified: bool, max_grams: int = MAX_GRAMS) -> dict[str, Model]:
+    """A model per language from a stored table of counts, of all grams in it.
 
-    Only grams of the kept share come to the driver: up to ``2**share_bits`` a language.
+    The grams come to the driver once their number is known to fit there; more than
+    ``max_grams`` are an error, and none is left out.
     """
-    totals = counts.groupBy("language").agg(F.sum("n").alias("total"))
-    kept = (
-        counts.join(F.broadcast(totals), "language")
-        .where(F.col("n") * 2**share_bits >= F.col("total"))
-        .select("language", "gram", "n")
-        .toArrow()
-    )
+    found = counts.count()
+    if found > max_grams:
+        raise ValueError(f"{found} distinct grams are more than the {max_grams} that fit")
+    kept = counts.select("language", "gram", "n").toArrow()
     models = {}
     for name in sorted(pc.unique(kept["language"]).to_pylist()):
         own = kept.filter(pc.equal(kept["language"], name))
