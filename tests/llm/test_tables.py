@@ -161,13 +161,15 @@ def test_damage_is_found(spark, archive):
 @pytest.mark.parametrize("name", sorted(queries.SQL))
 def test_queries_equal_their_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("pages", "embeddings"):
+    for table in ("pages", "embeddings", "documents", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     result = connection.execute(queries.SQL[name])
     names = [d[0] for d in result.description]
     df = queries.QUERIES[name](spark, SMALL)
     assert sorted(df.columns) == sorted(names)
-    assert sorted(map(tuple, df.select(*names).collect())) == sorted(result.fetchall())
+    assert sorted(map(tuple, df.select(*names).collect()), key=repr) == sorted(
+        result.fetchall(), key=repr
+    )
 
 
 COLUMNS = {
