@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from goldrow.functions.predicates import non_blank
+from goldrow.operators.membership import Member, Membership
 from goldrow.operators.schema import col, find_column, require_column, union_filled
 from goldrow.operators.skew import mark_known
 from goldrow.plans.catalog import DQ_COLUMNS, PARENT_KEY_CANDIDATES, REFERENCE_TABLE, rules_for
@@ -39,6 +41,8 @@ class _Lookups:
     df: DataFrame
     reference: DataFrame | None
     options: dict = field(default_factory=dict)
+    #: Membership index, and the names of the own and the reference table in it.
+    index: tuple[Membership, str, str] | None = None
     flags: dict[tuple[str, str], str] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -49,6 +53,10 @@ class _Lookups:
         if flag is None:
             flag = f"_dq_hit_{len(self.flags)}"
             self.flags[own, reference_column] = flag
+            if self.index is not None:
+                index, table, other = self.index
+                self.df = index.mark(self.df, table, own, other, flag, **self.options)
+                return F.col(flag)
             key = col(reference_column)
             keys = self.reference.where(non_blank(key)).select(key.alias("_dq_key"))
             probe = self.df.withColumn("_dq_key", col(own))
@@ -200,11 +208,16 @@ def run_chain(
     *,
     processed_at: Column | None = None,
     pieces: int | None = None,
+    index: tuple[Membership, str, str] | None = None,
 ) -> DQResult:
-    """JON-07: rows surviving rule k meet rule k+1; a reject carries its first failure."""
+    """JON-07: rows surviving rule k meet rule k+1; a reject carries its first failure.
+
+    ``index`` is a membership index that has the keys of the table and its reference, and
+    their names there; lookups read it instead of the reference.
+    """
     if not rules:
         raise ValueError("no active rule for this table")
-    lookups = _Lookups(df, reference, {"pieces": pieces})
+    lookups = _Lookups(df, reference, {"pieces": pieces}, index)
     failures = []
     for position, rule in enumerate(rules, 1):
         builder = RULES.get(rule.rule.strip().lower())
@@ -340,30 +353,96 @@ def reject_trail(
     )
 
 
+#: Rules that look a key up in the reference table.
+_LOOKUP_RULES = tuple(name for name, builder in RULES.items() if builder is not _null_check)
+
+
+def _families(tables: Mapping[str, DataFrame]) -> tuple[list[list[str]], list[str]]:
+    """Checked tables that are there with their reference, by connected references; and the
+    tables skipped because they or their reference are missing."""
+    families: list[list[str]] = []
+    skipped = []
+    for table, reference in REFERENCE_TABLE.items():
+        if table not in tables or reference not in tables:
+            skipped.append(table)
+            continue
+        joined = [f for f in families if table in f or reference in f]
+        families = [f for f in families if f not in joined]
+        families.append(list(dict.fromkeys([*[t for f in joined for t in f], table, reference])))
+    return families, skipped
+
+
+def _own_key(df: DataFrame, table: str) -> str:
+    """The one column by which a table's rules look up and others look it up."""
+    own = {require_column(df, r.column) for r in rules_for(table) if r.rule in _LOOKUP_RULES}
+    own.add(parent_key(df))
+    if len(own) > 1:
+        raise ValueError(f"{table} is checked by several keys: {sorted(own)}")
+    return own.pop()
+
+
+def memberships(tables: Mapping[str, DataFrame]) -> tuple[list[Membership], list[str]]:
+    """One membership index per family of checked tables, and the skipped tables."""
+    families, skipped = _families(tables)
+    found = []
+    for family in families:
+        members = {}
+        for table in family:
+            df = tables[table]
+            checks = [
+                non_blank(col(require_column(df, r.column)))
+                for r in rules_for(table)
+                if r.rule not in _LOOKUP_RULES
+            ]
+            passes = reduce(lambda a, b: a & b, checks, F.lit(True))
+            members[table] = Member(df, _own_key(df, table), passes)
+        found.append(Membership.of(members))
+    return found, skipped
+
+
 def sweep(
     tables: Mapping[str, DataFrame], *, processed_at: Column | None = None
 ) -> tuple[dict[str, DQResult], list[str]]:
     """JON-09: run every checked table against its reference table.
 
     Returns the results and the tables skipped because they or their reference are
-    missing. Nothing runs yet: the plans are lazy.
+    missing. The families' membership indexes are written once, and every lookup reads
+    its bit there; the results are lazy. For counts alone, ``sweep_summary`` is cheaper.
     """
-    results, skipped = {}, []
-    for table, reference in REFERENCE_TABLE.items():
-        if table not in tables or reference not in tables:
-            skipped.append(table)
-            continue
-        results[table] = run_chain(
-            tables[table], rules_for(table), tables[reference], processed_at=processed_at
+    found, skipped = memberships(tables)
+    stored = {t: index for index in [m.written() for m in found] for t in index.tables}
+    results = {
+        table: run_chain(
+            tables[table],
+            rules_for(table),
+            tables[reference],
+            processed_at=processed_at,
+            index=(stored[table], table, reference),
         )
+        for table, reference in REFERENCE_TABLE.items()
+        if table in stored and table not in skipped
+    }
     return results, skipped
 
 
-def sweep_summary(results: Mapping[str, DQResult]) -> DataFrame:
-    """Passed and rejected rows of every swept table as one frame."""
+def sweep_summary(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Passed and rejected rows of every swept table as one frame.
+
+    Each table is read once, each family is shuffled once by its key, and nothing is joined.
+    """
+    found, skipped = memberships(tables)
     return union_filled(
-        [r.totals().withColumn("table_name", F.lit(t)) for t, r in results.items()]
-    ).select("table_name", "passed_count", "rejected_count")
+        [
+            m.outcomes(
+                {
+                    t: [REFERENCE_TABLE[t]] if any(r.rule in _LOOKUP_RULES for r in rules_for(t)) else []
+                    for t in m.tables
+                    if t in REFERENCE_TABLE and t not in skipped
+                }
+            )
+            for m in found
+        ]
+    )
 
 
 def choose_batch(df: DataFrame, batch_id: int | None = None) -> DataFrame:

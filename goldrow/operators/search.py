@@ -405,13 +405,20 @@ def known_secondary_ids(primary: DataFrame) -> DataFrame:
 
     Here the identifier type is its code.
     """
-    identifiers = F.col("record.data.AlternateIdentifier")
-    listed = unnest(primary, ["request_id"], identifiers, "identifier")
-    kind = F.upper(F.trim(F.col("identifier.alternateIdentifierType.Code")))
-    value = F.col("identifier.alternateIdentifierValue")
-    return listed.where((kind == KNOWN_ID_TYPE) & (value != "")).select(
-        "request_id", value.alias("record_id")
-    )
+    return _one_per_id(primary.select("request_id", _listed_ids()))
+
+
+def _listed_ids() -> Column:
+    """The secondary ids that a primary record lists, as ``record_ids``."""
+    identifiers = F.coalesce("record.data.AlternateIdentifier", F.array())
+    kind = lambda i: F.upper(F.trim(i["alternateIdentifierType"]["Code"]))
+    value = lambda i: i["alternateIdentifierValue"]
+    listed = F.filter(identifiers, lambda i: (kind(i) == KNOWN_ID_TYPE) & (value(i) != ""))
+    return F.transform(listed, value).alias("record_ids")
+
+
+def _one_per_id(primary: DataFrame) -> DataFrame:
+    return primary.select("request_id", F.explode("record_ids").alias("record_id"))
 
 
 def drop_known(
@@ -420,9 +427,13 @@ def drop_known(
     *,
     pieces: int | None = None,
 ) -> DataFrame:
-    """JON-18: secondary records whose id the request's primary records do not list."""
+    """JON-18: secondary records whose id the request's primary records do not list.
+
+    The records are stored first: they are read for their keys' counts and for the rows,
+    and parsed once.
+    """
     marked = mark_known(
-        secondary,
+        write_through(secondary, "secondary"),
         known,
         ["request_id", "record_id"],
         "_known",
@@ -458,6 +469,9 @@ def include_secondary(
     primary record scores high enough.
     """
     options = {"pieces": pieces}
+    # Parsed once; counts and joins read the stored rows.
+    secondary = write_through(secondary, "secondary")
+    primary = write_through(primary.select("request_id", "score", _listed_ids()), "primary")
     asked = requests.select(
         "request_id", F.coalesce("search_secondary", F.lit(False)).alias("_asked")
     )
@@ -466,7 +480,7 @@ def include_secondary(
     rows = spread_join(secondary, flags, ["request_id"], "inner", right_unique=True, **options)
     rows = mark_known(
         rows,
-        known_secondary_ids(primary),
+        _one_per_id(primary),
         ["request_id", "record_id"],
         "_known",
         left_source=secondary,

@@ -5,12 +5,15 @@ from a shuffle and the skewed side may be split for that join type. A join again
 distinct keys, an outer join whose inner side is skewed, or the second of two joins on
 one key is outside of that.
 
-Here rows are counted per key first, in the same plan. The rows with a key are thought of
-as cut into ``pieces``, some per shuffle partition. A key with more rows than a piece is
-dealt out over as many salts as it fills pieces, and there are at most ``pieces`` such keys,
-so their table has a proven size and is broadcast. Both limits are shares of the rows: the
-plan is one and the same whatever the size. Rows without a key match nothing; they are
-dealt out over all pieces.
+Here rows are counted per key first. The rows with a key are thought of as cut into
+``pieces``, some per shuffle partition. A key with more rows than a piece is dealt out over
+as many salts as it fills pieces, and there are at most ``pieces`` such keys, so their
+table has a proven size and is broadcast. Both limits are shares of the rows. Rows without
+a key match nothing; they are dealt out over all pieces.
+
+``spread_join`` and ``mark_known`` count in the plan of the join, which is one and the same
+whatever the size. ``left_join_all`` counts in a job of its own while its plan is made: it
+joins many tables, and without heavy keys none of them has to leave the plain path.
 """
 
 from __future__ import annotations
@@ -36,10 +39,12 @@ def default_pieces(df: DataFrame) -> int:
 def key_ways(df: DataFrame, keys: Sequence[str], pieces: int, ways: str) -> DataFrame:
     """Keys with more rows than a piece, and the number of pieces they fill (``ways``).
 
-    Lazy. Counts combine before the shuffle; at most ``pieces`` rows come out.
+    Lazy. Counts combine before the shuffle; at most ``pieces`` rows come out. The total is
+    a plain count, for which no key is shuffled.
     """
-    counted = _with_key(df.select(*keys), keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counted.agg(F.sum("_rows")).scalar()
+    rows = _with_key(df.select(*keys), keys)
+    counted = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    total = rows.select(F.count(F.lit(1))).scalar()
     filled = F.col("_rows") * pieces
     return counted.where(filled > total).select(
         *keys, F.ceil(filled / total).cast("int").alias(ways)
@@ -128,15 +133,43 @@ def spread_join(
 
 
 def mark_known(
-    df: DataFrame, known: DataFrame, keys: Sequence[str], flag: str, **options
+    df: DataFrame,
+    known: DataFrame,
+    keys: Sequence[str],
+    flag: str,
+    *,
+    pieces: int | None = None,
+    left_source: DataFrame | None = None,
+    heavy: DataFrame | None = None,
 ) -> DataFrame:
     """Add boolean ``flag``: whether the row's key occurs in ``known``.
 
     The known keys are made distinct, on the map side first, so rows are never doubled.
+    Heavy keys are looked up before, and their answers are broadcast; their rows, and rows
+    without a key, take any salt and meet nothing in the join. ``heavy`` gives these keys,
+    at most ``pieces``, where they are known; else rows are counted on ``left_source``,
+    which has the keys with fewer steps behind it, or on ``df``.
     """
-    marked = known.select(*keys).distinct().withColumn(flag, F.lit(True))
-    joined = spread_join(df, marked, keys, "left", right_unique=True, **options)
-    return joined.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    keys = list(keys)
+    pieces = default_pieces(df) if pieces is None else pieces
+    if heavy is None:
+        heavy = key_ways(df if left_source is None else left_source, keys, pieces, "_ways")
+    marked = _with_key(known.select(*keys), keys).distinct().withColumn("_hit", F.lit(True))
+    answers = heavy.select(*keys).join(marked, keys, "left").select(
+        *keys, F.coalesce("_hit", F.lit(False)).alias("_answer")
+    )
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    apart = no_key | F.col("_answer").isNotNull()
+    rows = df.join(F.broadcast(answers), keys, "left").select(
+        *df.columns,
+        "_answer",
+        F.when(apart, _spread(df, pieces) + 1).otherwise(0).alias("_salt"),
+    )
+    # Not a literal: the join would lose the salt as one of its keys.
+    none = F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+    joined = rows.join(marked.withColumn("_salt", none), [*keys, "_salt"], "left")
+    found = F.coalesce("_answer", "_hit", F.lit(False))
+    return joined.select(*df.columns, found.alias(flag))
 
 
 def left_join_all(

@@ -19,7 +19,6 @@ from goldrow.operators.standardize import standardize
 from goldrow.plans.catalog import REFERENCE_TABLE, rules_for
 from goldrow.plans.specs import FieldMap, JoinSpec, StandardizeRule
 from goldrow.sinks import writers
-from goldrow.sources.files import exists
 
 
 @dataclass(frozen=True)
@@ -33,7 +32,7 @@ class Layers:
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
     def has(self, layer: str, table: str) -> bool:
-        return exists(self.spark, self.path(layer, table))
+        return writers.table_exists(self.spark, self.path(layer, table))
 
     def read(self, layer: str, table: str) -> DataFrame:
         return writers.read_layer(self.spark, self.path(layer, table))
@@ -111,7 +110,7 @@ def ingest(
     The high-water mark is taken over the rows the load leaves in place, as a scalar
     subquery of the same plan.
     """
-    path, high_water, emptied, if_empty = layers.path("raw", entity.table), None, [], []
+    path, high_water = layers.path("raw", entity.table), None
     if entity.load_type == "delta" and layers.has("raw", entity.table):
         target = layers.read("raw", entity.table)
         own = (F.col("Source_Name") == entity.source_system) & F.col("BATCH_ID").isin(
@@ -121,8 +120,6 @@ def ingest(
         if column is not None:
             stamps = target.where(~own).select(incremental.as_timestamp(target, column).alias("ts"))
             high_water = stamps.agg(F.max("ts")).scalar()
-        emptied = [(entity.source_system, b) for b in batch_ids if b != max(batch_ids)]
-        if_empty = [(entity.source_system, max(batch_ids))]
     rows = incremental.incremental_window(
         source,
         full_load=entity.full_load,
@@ -135,9 +132,8 @@ def ingest(
     )
     rows = schema.underscore_names(rows).distinct()
     rows = schema.stamp_raw(rows, batch_ids, entity.source_system, load_time)
-    return writers.load_raw(
-        rows, path, load_type=entity.load_type, emptied=emptied, if_empty=if_empty
-    )
+    emptied = [(entity.source_system, b) for b in batch_ids]
+    return writers.load_raw(rows, path, load_type=entity.load_type, emptied=emptied)
 
 
 def land(layers: Layers, entity: Entity, batch_ids: Sequence[int]) -> int:
@@ -151,6 +147,7 @@ def land(layers: Layers, entity: Entity, batch_ids: Sequence[int]) -> int:
         standardize(latest, entity.rules),
         layers.path("landing", entity.table),
         full_load=entity.full_load,
+        batches=batch_ids,
     )
 
 
@@ -163,7 +160,7 @@ def canonicalize(
     rows = dedup.latest_for_canonical(rows, entity.keys)
     mapped = canonical.to_canonical(rows, entity.mapping, entity.joins, load_time=load_time)
     path = layers.path("canonical", entity.table)
-    return writers.append_evolving(mapped, path, ("Batch_ID",))
+    return writers.append_evolving(mapped, path, ("Batch_ID",), batch_ids)
 
 
 @dataclass(frozen=True)
@@ -221,7 +218,8 @@ def to_hub(
     latest = dedup.latest_per_key(rows, [key, "Batch_ID"], dedup.INGRESS_ORDER)
     written = {}
     for target, df in ingress.to_targets(latest, table, mapping).items():
-        written[target] = writers.append_evolving(df, layers.path("mdm", target), ("Batch_ID",))
+        path = layers.path("mdm", target)
+        written[target] = writers.append_evolving(df, path, ("Batch_ID",), batch_ids)
     return written
 
 

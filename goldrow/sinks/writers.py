@@ -1,8 +1,8 @@
 """Layer writes: idempotent batch replace, first loads, publishing, snapshots (SNK-01..14).
 
-A layer table is a parquet directory partitioned by batch, with its schema beside the
-data: so partition text keeps its type, and a table without rows can be read. No write
-reads the path it replaces.
+A layer table is versioned (``versions``): its schema is kept beside the data, so partition
+text keeps its type and a table without rows can be read, and a write is seen as a whole or
+not at all. A write may read the table that it replaces.
 """
 
 from __future__ import annotations
@@ -23,7 +23,8 @@ from goldrow.operators.schema import (
     json_complex_columns,
     require_column,
 )
-from goldrow.sources.files import children, drop_directory, exists, read_text, write_text
+from goldrow.sinks import versions
+from goldrow.sources.files import children, exists, read_text
 
 # Spellings of a set full-load flag, and outcome words of a copy.
 TRUE_WORDS = ("TRUE", "Y", "YES", "1")
@@ -40,73 +41,61 @@ def write_mode(target_exists: bool, load_type: str, full_load: object = False) -
     return "append"
 
 
-#: File of a layer table's schema; Spark skips names that start so.
+#: File with the schema of a table in the plain layout that versions replaced.
 _SCHEMA = "_layer_schema"
 
 
-def layer_schema(spark: SparkSession, path: str) -> T.StructType | None:
-    """The stored schema of a layer table; None for a table written by others."""
-    text = read_text(spark, f"{path}/{_SCHEMA}")
-    return T.StructType.fromJson(json.loads(text)) if text else None
+def _is_plain(spark: SparkSession, path: str) -> bool:
+    """Whether files lie in the folder itself, as others write them."""
+    return any(n[0] not in "._" for n in children(spark, path))
+
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return bool(versions.numbers(spark, path)) or _is_plain(spark, path)
 
-def _store_schema(df: DataFrame, path: str, *, widen: bool) -> None:
-    """Store the schema of ``df``; ``widen`` keeps columns that only older batches have."""
-    old = layer_schema(df.sparkSession, path) if widen else None
-    known = {f.name.lower() for f in df.schema}
-    fields = [*df.schema, *[f for f in old or () if f.name.lower() not in known]]
-    nullable = [T.StructField(f.name, f.dataType) for f in fields]
-    write_text(df.sparkSession, f"{path}/{_SCHEMA}", T.StructType(nullable).json())
 
+def read_layer(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | None = None,
+    version: int | None = None,
+) -> DataFrame:
+    """A layer table with the columns of all batches (SNK-07), or those of ``schema``.
 
-def _sized(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
-    """Even output files per partition; adaptive rebalancing splits a large batch."""
-    return df.hint("rebalance", *partitions) if partitions else df.hint("rebalance")
+    The newest version, or the one that is named; it stays the same whatever is written
+    later. A table that was written by others is read by its files' merged schemas.
+    """
+    held = versions.version(spark, path, version)
+    if held is not None:
+        return versions.read(spark, path, held, schema)
+    text = read_text(spark, f"{path}/{_SCHEMA}")
+    schema = schema or (T.StructType.fromJson(json.loads(text)) if text else None)
+    reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
+    return reader.parquet(path)
+
+
+def _write(df: DataFrame, path: str, partitions: Sequence[str], **options) -> int:
+    """Make a new version; a table in the plain layout becomes its first version before."""
+    spark = df.sparkSession
+    if options["mode"] != "all" and not versions.numbers(spark, path) and _is_plain(spark, path):
+        versions.write(read_layer(spark, path), path, partitions, mode="all")
+    return versions.write(df, path, partitions, **options)
 
 
 def write_table(
     df: DataFrame, path: str, mode: str = "append", partition_by: Sequence[str] = ("batch_id",)
 ) -> int:
-    """SNK-01: append or overwrite; an empty input writes nothing. Returns rows written.
-
-    Only an overwrite of an existing table looks first whether there are rows; appending
-    none changes nothing anyway, so there the plan runs once.
-    """
+    """SNK-01: append or overwrite; no rows leave an existing table as it is. Returns rows
+    written."""
     if mode not in ("append", "overwrite"):
         raise ValueError(f"unsupported write mode: {mode}")
-    if mode == "overwrite" and exists(df.sparkSession, path) and df.isEmpty():
-        return 0
-    seen = Observation()
-    partitions = [require_column(df, p) for p in partition_by]
-    out = _sized(df, partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
-    out.write.mode(mode).partitionBy(*partitions).parquet(path)
-    _store_schema(df, path, widen=mode == "append")
-    return seen.get["rows"]
+    how = "all" if mode == "overwrite" else mode
+    return _write(df, path, partition_by, mode=how, skip_empty=True)
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ("batch_id",)) -> int:
     """Replace a table by ``df``, also by no rows. Returns rows written."""
-    seen = Observation()
-    partitions = [require_column(df, p) for p in partition_by]
-    out = _sized(df, partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
-    out.write.mode("overwrite").partitionBy(*partitions).parquet(path)
-    _store_schema(df, path, widen=False)
-    return seen.get["rows"] or 0
-
-
-def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A layer table, by its stored schema, which has the columns of all batches (SNK-07).
-
-    A table that was written by others is read by its files' merged schemas.
-    """
-    schema = schema or layer_schema(spark, path)
-    if schema is not None:
-        return spark.read.schema(schema).parquet(path)
-    return spark.read.option("mergeSchema", "true").parquet(path)
-
-
-def _partition_value(value: object) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if value is None or value == "" else str(value)
+    return _write(df, path, partition_by, mode="all")
 
 
 def replace_batches(
@@ -114,30 +103,15 @@ def replace_batches(
     path: str,
     keys: Sequence[str] = ("batch_id",),
     emptied: Iterable[Sequence[object]] = (),
-    if_empty: Iterable[Sequence[object]] = (),
 ) -> int:
-    """SNK-02 / SNK-03: replace the partitions that occur in ``df``, keep all others.
+    """SNK-02 / SNK-03: replace the batches that occur in ``df``, keep all others.
 
-    Running it again with the same rows changes nothing. A partition whose rows are all
-    gone does not occur in ``df`` and so must be named to be dropped: in ``emptied``, or in
-    ``if_empty`` if it goes only where ``df`` has no rows at all.
+    One new version of the table; until it is there, readers see the old rows. Running it
+    again with the same rows changes nothing. A batch whose rows are all gone does not
+    occur in ``df``: those that the write stands for are named in ``emptied``, and go if
+    they have no rows.
     """
-    spark = df.sparkSession
-    partitions = [require_column(df, k) for k in keys]
-    seen = Observation()
-    out = _sized(df, partitions).observe(seen, F.count(F.lit(1)).alias("rows"))
-    (
-        out.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
-    )
-    rows = seen.get["rows"] or 0
-    for values in [*emptied, *(() if rows else if_empty)]:
-        parts = zip(partitions, values, strict=True)
-        drop_directory(spark, "/".join([path, *[f"{k}={_partition_value(v)}" for k, v in parts]]))
-    _store_schema(df, path, widen=True)
-    return rows
+    return _write(df, path, keys, mode="batches", emptied=emptied)
 
 
 def load_raw(
@@ -147,34 +121,45 @@ def load_raw(
     load_type: str,
     partition_by: Sequence[str] = ("Source_Name", "BATCH_ID"),
     emptied: Iterable[Sequence[object]] = (),
-    if_empty: Iterable[Sequence[object]] = (),
 ) -> int:
     """SNK-03..06: first load all text; later loads shaped like the target.
 
     Only a ``delta`` load replaces its own earlier batch of the same source, and drops
-    the partitions named in ``emptied``, and in ``if_empty`` if it has no rows.
+    the partitions named in ``emptied`` that it has no rows for.
     """
     spark = df.sparkSession
-    if not exists(spark, path):
+    if not table_exists(spark, path):
         return write_table(all_strings(df), path, "overwrite", partition_by)
     target = read_layer(spark, path).schema
     shaped = align(df, target)
     if load_type == "delta":
-        return replace_batches(shaped, path, partition_by, emptied, if_empty)
+        return replace_batches(shaped, path, partition_by, emptied)
     return write_table(shaped, path, write_mode(True, load_type), partition_by)
 
 
-def load_landing(df: DataFrame, path: str, *, full_load: object = False) -> int:
-    """LANDING write: full load overwrites, otherwise the input's batches are replaced."""
+def load_landing(
+    df: DataFrame, path: str, *, full_load: object = False, batches: Iterable[object] = ()
+) -> int:
+    """LANDING write: full load overwrites, otherwise the input's batches are replaced.
+
+    ``batches`` are the ids that the load stands for; those without rows are dropped.
+    """
     spark = df.sparkSession
-    if is_set(full_load) or not exists(spark, path):
+    if is_set(full_load) or not table_exists(spark, path):
         return write_table(df, path, "overwrite")
-    return replace_batches(align(df, read_layer(spark, path).schema), path)
+    shaped = align(df, read_layer(spark, path).schema)
+    return replace_batches(shaped, path, emptied=[(b,) for b in batches])
 
 
-def append_evolving(df: DataFrame, path: str, keys: Sequence[str] = ("batch_id",)) -> int:
-    """SNK-07: batch replace whose new columns are added; older batches read null there."""
-    return replace_batches(df, path, keys)
+def append_evolving(
+    df: DataFrame, path: str, keys: Sequence[str] = ("batch_id",), batches: Iterable[object] = ()
+) -> int:
+    """SNK-07: batch replace whose new columns are added; older batches read null there.
+
+    A column that got a wider number type is read in it from older batches too.
+    ``batches`` as in ``load_landing``.
+    """
+    return replace_batches(df, path, keys, emptied=[(b,) for b in batches])
 
 
 @dataclass(frozen=True)
@@ -191,11 +176,12 @@ def reconcile_write(df: DataFrame, path: str, batch_id: int, batch: str = "BATCH
     ledger on only after this returns.
     """
     spark = df.sparkSession
-    seen = replace_batches(df, path, (batch,))
-    written = 0
-    if exists(spark, path):
-        table = read_layer(spark, path)
-        written = table.where(col(require_column(table, batch)) == batch_id).count()
+    observed = Observation()
+    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
+    replace_batches(counted, path, (batch,), emptied=[(batch_id,)])
+    seen = observed.get["rows"] or 0
+    table = read_layer(spark, path)
+    written = table.where(col(require_column(table, batch)) == batch_id).count()
     if seen != written:
         seen = df.count()
     if seen != written:
@@ -294,6 +280,6 @@ def snapshot(df: DataFrame, root: str, entity: str, day: date | datetime) -> str
     if entity not in ("HCP", "HCO"):
         raise ValueError(f"entity must be HCP or HCO, got {entity!r}")
     path = f"{root}/{entity}_SNAPSHOT_{day:%Y%m%d}"
-    df.write.mode("overwrite").parquet(path)
+    replace_table(df, path, ())
     return path
 

@@ -408,7 +408,7 @@ def test_empty_overwrite_keeps_the_table(spark):
     rows = spark.createDataFrame([(1, 1)], "x int, batch_id int")
     assert writers.write_table(rows, path, "overwrite") == 1
     assert writers.write_table(rows.where("false"), path, "overwrite") == 0
-    assert spark.read.parquet(path).count() == 1
+    assert writers.read_layer(spark, path).count() == 1
     with pytest.raises(ValueError, match="unsupported write mode"):
         writers.write_table(rows, path, "merge")
 

@@ -11,6 +11,7 @@ from goldrow.operators import ledger
 from goldrow.plans import stages
 from goldrow.plans.specs import FieldMap, StandardizeRule
 from goldrow.session import scratch_path
+from goldrow.sinks import writers
 from goldrow.streaming.feed import FEED_SCHEMA, stream_feed
 from tests.conftest import SMALL
 from workload import Data
@@ -138,7 +139,7 @@ def test_feed_stream_takes_each_drop_once(spark):
     valid = documents.where("try_parse_json(response_json) IS NOT NULL").count()
     assert documents.schema.simpleString().count(":") == len(FEED_SCHEMA.split(","))
     for expected in (valid, 2 * valid, 2 * valid):
-        if expected != 2 * valid or spark.read.parquet(target).count() < expected:
+        if expected != 2 * valid or writers.read_layer(spark, target).count() < expected:
             documents.write.mode("append").json(folder)
         stream_feed(spark, folder, target, "HCP", AT, "test-feed").awaitTermination()
-        assert spark.read.parquet(target).count() == expected
+        assert writers.read_layer(spark, target).count() == expected

@@ -1,6 +1,17 @@
 """Registered queries over the given tables, each with its oracle SQL where SQL can say it."""
 
-from workload import audits, batches, documents, marts, quality, scalars, search, sinks, sources
+from workload import (
+    audits,
+    batches,
+    documents,
+    layers,
+    marts,
+    quality,
+    scalars,
+    search,
+    sinks,
+    sources,
+)
 from workload.base import REGISTRY, TABLES, Data
 
 __all__ = [
@@ -10,6 +21,7 @@ __all__ = [
     "audits",
     "batches",
     "documents",
+    "layers",
     "marts",
     "quality",
     "scalars",

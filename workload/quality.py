@@ -195,9 +195,50 @@ def _sweep_sql() -> str:
 
 @query("jon_09_sweep", _sweep_sql())
 def jon_09(data: Data) -> DataFrame:
-    tables = {r.table: data[r.table] for r in DQ_RULES}
-    results, _ = quality.sweep(tables, processed_at=now())
-    return quality.sweep_summary(results)
+    return quality.sweep_summary({r.table: data[r.table] for r in DQ_RULES})
+
+
+def _sweep_rows_sql() -> str:
+    """Rejected rows by table and rule; written out, not from the catalogue."""
+    unknown = {
+        "hcp": ("address", "affiliation", "alternate_name", "education", "email", "identification",
+                "language", "origin_university", "phone", "specialty", "tax", "tendencies"),
+        "hco": ("address", "alternate_name", "email", "identification", "phone", "specialty", "tax",
+                "hierarchy"),
+    }
+    spelled = {"affiliation": "hcp_hco_affiliation", "hierarchy": "hco_hco_hierarchy"}
+    rules = {"address": "address_mdr_check", "affiliation": "affiliation_mdr_check",
+             "hierarchy": "hierarchy_mdr_check"}
+    parts = [
+        f"SELECT '{spelled.get(t, f'{family}_{t}')}' AS table_name, '{rules.get(t, 'mdr_check')}' AS rule, "
+        f"iqvia_id FROM {spelled.get(t, f'{family}_{t}')} WHERE iqvia_id IS NULL "
+        f"OR iqvia_id NOT IN (SELECT iqvia_id FROM {family}_name)"
+        for family, tables in unknown.items()
+        for t in tables
+    ]
+    for family, name in (("hcp", "first_name"), ("hco", "organization_name")):
+        no_name = f"trim(coalesce({name}, '')) = ''"
+        parts.append(
+            f"SELECT '{family}_name', CASE WHEN {no_name} THEN 'null_check' ELSE "
+            f"'name_address_completeness_check' END, iqvia_id FROM {family}_name WHERE {no_name} "
+            f"OR iqvia_id NOT IN (SELECT iqvia_id FROM {family}_address)"
+        )
+    names = [spelled.get(t, f"{f}_{t}") for f, ts in unknown.items() for t in ts]
+    tables = [*names, "hcp_name", "hco_name"]
+    return f"WITH {derive(*tables)} " + " UNION ALL ".join(parts)
+
+
+@query("jon_09_sweep_rejects", _sweep_rows_sql())
+def jon_09_rejects(data: Data) -> DataFrame:
+    """Every rejected row of the sweep, through the stored membership index."""
+    results, _ = quality.sweep({r.table: data[r.table] for r in DQ_RULES}, processed_at=now())
+    out = None
+    for table, result in results.items():
+        rows = result.rejected.select(
+            F.lit(table).alias("table_name"), F.col("DQ_RULE").alias("rule"), "iqvia_id"
+        )
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 @query(

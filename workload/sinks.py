@@ -193,7 +193,7 @@ def snk_11(data: Data) -> DataFrame:
     rows = data["customer"].select("c_custkey", "c_name")
     writers.snapshot(rows.unionAll(rows), root, "HCP", date(2024, 1, 31))
     path = writers.snapshot(rows, root, "HCP", date(2024, 1, 31))
-    return data.spark.read.parquet(path).withColumn("tbl", F.lit(path.rsplit("/", 1)[-1]))
+    return writers.read_layer(data.spark, path).withColumn("tbl", F.lit(path.rsplit("/", 1)[-1]))
 
 
 @query("snk_12_empty_clone", "SELECT c_custkey, c_name, c_mktsegment FROM customer")
