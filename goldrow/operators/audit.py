@@ -192,9 +192,12 @@ def assert_copied(verified: DataFrame) -> None:
 
 
 def not_null_tests(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
-    """AGG-18: rows whose key is null, per table, with PASS or FAIL."""
+    """AGG-18: rows whose key is null, per table, with PASS or FAIL.
+
+    The condition is a filter, so it reaches the scans, and in a consolidation its anchor.
+    """
     parts = {
-        t: df.agg(F.count(F.when(col(key).isNull(), 1)).alias("failures"))
+        t: df.where(col(key).isNull()).agg(F.count(F.lit(1)).alias("failures"))
         for t, (df, key) in tables.items()
     }
     status = F.when(F.col("failures") == 0, "PASS").otherwise("FAIL")
@@ -227,8 +230,12 @@ def tables_with_column(columns: DataFrame, name: str) -> DataFrame:
 
 
 def column_counts(columns: DataFrame, expected: Mapping[str, int] | None = None) -> DataFrame:
-    """AGG-19: columns per table, and PASS or MISMATCH against expected numbers."""
-    out = columns.groupBy("table_name").agg(F.count(F.lit(1)).alias("column_count"))
+    """AGG-19: columns per table, how many of them hold a value in any row, and PASS or
+    MISMATCH of the columns against expected numbers."""
+    out = columns.groupBy("table_name").agg(
+        F.count(F.lit(1)).alias("column_count"),
+        F.count_if(F.col("filled_rows") > 0).alias("filled_columns"),
+    )
     if expected is None:
         return out
     want = columns.sparkSession.createDataFrame(

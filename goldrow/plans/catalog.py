@@ -786,7 +786,3 @@ def rules_for(table: str) -> tuple[DQRule, ...]:
     """Catalogue rules of a table; qualifiers and a ``_canonical`` suffix are ignored."""
     bare = table.rsplit(".", 1)[-1].lower().removesuffix("_canonical")
     return tuple(r for r in DQ_RULES if r.table == bare)
-
-
-def family(table: str) -> str:
-    return "HCO" if table.lower().startswith("hco") else "HCP"

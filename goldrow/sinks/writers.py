@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from goldrow.operators import digest
 from goldrow.operators.schema import (
     align,
     all_strings,
@@ -169,24 +170,29 @@ class Reconciled:
 
 
 def reconcile_write(df: DataFrame, path: str, batch_id: int, batch: str = "BATCH_ID") -> Reconciled:
-    """SNK-14: replace the batch, recount it in the target, fail on a difference.
+    """SNK-14: replace the batch, read it again, fail unless it has the rows of ``df``.
 
-    The count seen while writing may be inflated if tasks ran again, so a difference is
-    confirmed by counting the source before it counts as a failure. Callers move the
+    Number and content are compared, by a digest that does not depend on order. The source's
+    digest is taken while it is written; tasks that ran again may have inflated it, so a
+    difference is confirmed on the source before it counts as a failure. Callers move the
     ledger on only after this returns.
     """
     spark = df.sparkSession
     observed = Observation()
-    counted = df.observe(observed, F.count(F.lit(1)).alias("rows"))
-    replace_batches(counted, path, (batch,), emptied=[(batch_id,)])
-    seen = observed.get["rows"] or 0
+    hashed = df.observe(observed, *digest.sums(digest.row_hashes(df)))
+    replace_batches(hashed, path, (batch,), emptied=[(batch_id,)])
+    seen = observed.get
     table = read_layer(spark, path)
-    written = table.where(col(require_column(table, batch)) == batch_id).count()
+    own = table.where(col(require_column(table, batch)) == batch_id)
+    written = digest.table_digest(digest.shaped_like(own, df)).first().asDict()
     if seen != written:
-        seen = df.count()
+        seen = digest.table_digest(df).first().asDict()
     if seen != written:
-        raise RuntimeError(f"reconciliation failed: source={seen}, written={written}")
-    return Reconciled(seen, written)
+        raise RuntimeError(
+            f"reconciliation failed: source={seen['rows']}, written={written['rows']}"
+            + (", unlike rows" if seen["rows"] == written["rows"] else "")
+        )
+    return Reconciled(seen["rows"], written["rows"])
 
 
 _PUBLISH = "publish_id"

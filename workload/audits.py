@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrow.operators import audit, marts
+from goldrow.operators import audit, digest, marts
 from goldrow.plans import catalog
 from workload.base import ORGANIZATION_VIEWS, PERSON_VIEWS, Data, derive, query
 from workload.marts import (
     ORGANIZATION_SQL,
     PERSON_SQL,
+    hub_child,
     organization_views,
     person_views,
     views_sql,
@@ -286,6 +287,76 @@ def agg_17(data: Data) -> DataFrame:
     return audit.verify_copy(source, target)
 
 
+def copied(data: Data) -> DataFrame:
+    """Orders as a faulty copy: some rows changed, some doubled, some under another key."""
+    doubled = "o_orderstatus = 'P' AND o_orderpriority = '1-URGENT'"
+    swapped = "o_orderstatus = 'P' AND o_orderpriority = '5-LOW'"
+    changed = "o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM'"
+    orders = data["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return (
+        orders.withColumn("copies", F.expr(f"explode(array_repeat(0, CASE WHEN {doubled} THEN 2 ELSE 1 END))"))
+        .withColumn("o_orderkey", F.expr(f"CASE WHEN {swapped} THEN -o_orderkey ELSE o_orderkey END"))
+        .withColumn("o_custkey", F.expr(f"CASE WHEN {changed} THEN NULL ELSE o_custkey END"))
+        .select("o_orderpriority", "O_CUSTKEY", "o_orderstatus", "o_orderkey")
+    )
+
+
+_COPIED_SQL = """WITH source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority
+    FROM orders), target AS (SELECT
+      CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '5-LOW' THEN -o_orderkey ELSE o_orderkey END AS o_orderkey,
+      CASE WHEN o_orderstatus = 'P' AND o_orderpriority = '3-MEDIUM' THEN NULL ELSE o_custkey END AS o_custkey,
+      o_orderstatus, o_orderpriority FROM orders
+    UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders
+      WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT') """
+
+
+@query(
+    "agg_17_content_differences",
+    _COPIED_SQL
+    + """, gone AS (SELECT * FROM source EXCEPT ALL SELECT * FROM target),
+      more AS (SELECT * FROM target EXCEPT ALL SELECT * FROM source),
+      s AS (SELECT o_orderkey, count(*) AS n FROM source GROUP BY 1),
+      t AS (SELECT o_orderkey, count(*) AS n FROM target GROUP BY 1)
+    SELECT o_orderkey, CASE WHEN t.n IS NULL THEN 'missing' WHEN s.n IS NULL THEN 'added'
+        WHEN o_orderkey NOT IN (SELECT o_orderkey FROM gone) THEN 'doubled' ELSE 'changed' END
+        AS difference, coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows
+    FROM (SELECT o_orderkey FROM gone UNION SELECT o_orderkey FROM more)
+      LEFT JOIN s USING (o_orderkey) LEFT JOIN t USING (o_orderkey)""",
+)
+def agg_17_differences(data: Data) -> DataFrame:
+    """Every row that a copy has lost, got, changed or doubled, found through digests."""
+    source = data["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    return digest.differences(source, copied(data), ["o_orderkey"])
+
+
+@query(
+    "agg_17_content_verification",
+    _COPIED_SQL
+    + """, v AS (SELECT 'ORDERS' AS table_name, (SELECT count(*) FROM source) AS source_rows,
+        (SELECT count(*) FROM target) AS target_rows, 'MISMATCH' AS status
+      UNION ALL SELECT 'SWAPPED', count(*), count(*), 'MISMATCH' FROM source
+      UNION ALL SELECT 'CUSTOMER', count(*), count(*), 'PASS' FROM customer
+      UNION ALL SELECT 'PART', NULL, count(*), 'SKIP' FROM part
+      UNION ALL SELECT 'NATION', count(*), NULL, 'ERROR' FROM nation) SELECT * FROM v""",
+)
+def agg_17_content(data: Data) -> DataFrame:
+    """A faulty copy, one with as many rows but unlike ones, and a true one in another order."""
+    source = data["orders"].select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    swapped = source.withColumn(
+        "o_custkey", F.when(F.col("o_orderstatus") == "P", -F.col("o_custkey")).otherwise(F.col("o_custkey"))
+    )
+    customer = data["customer"]
+    return digest.verify_content(
+        {
+            "ORDERS": (source, copied(data)),
+            "SWAPPED": (source, swapped),
+            "CUSTOMER": (customer, customer.repartition(7, "c_nationkey")),
+            "PART": (None, data["part"]),
+            "NATION": (data["nation"], None),
+        }
+    )
+
+
 _TESTED = list(catalog.STAGING_VIEWS)
 
 
@@ -306,10 +377,70 @@ def agg_18(data: Data) -> DataFrame:
     return audit.not_null_tests(views | {"dirty_address": (data["dirty_address"], "iqvia_id")})
 
 
-_CATALOGED = ("customer", "orders", "part", "documents")
-_DESCRIBED = " UNION ALL ".join(
-    f"SELECT '{t}' AS table_name, column_name FROM (DESCRIBE {t})" for t in _CATALOGED
+#: A key that some rows of a table lack.
+_SOME_LACK = "CASE WHEN {0} LIKE '%7' THEN NULL ELSE {0} END"
+
+
+def _lacking(df: DataFrame, key: str = "SOURCE_FK") -> DataFrame:
+    return df.withColumn(key, F.expr(_SOME_LACK.format(key)))
+
+
+def mart_tables(data: Data) -> dict[str, DataFrame]:
+    """The 23rd view and the 16 marts; anchors and some children lack keys."""
+    people, places = person_views(data), organization_views(data)
+    for views, anchor in ((people, catalog.PERSON_ANCHOR), (places, catalog.ORGANIZATION_ANCHOR)):
+        views[anchor] = _lacking(views[anchor])
+    person, place = marts.consolidate_person(people), marts.consolidate_organization(places)
+    tables = {
+        "stg_hcp_license": marts.staging_view(data["hcp_license"], "hcp_license"),
+        "mdm_hcp": person,
+        "master_hcp": marts.person_master(person),
+        "mdm_hco": place,
+        "master_hco": marts.organization_master(place),
+    }
+    for child in catalog.PERSON_CHILD_MASTERS:
+        items = [i.replace('"', "`") for i in hub_child(child)]
+        rows = data["lineitem"].selectExpr(*items)
+        rows = _lacking(rows) if child == "hcp_specialty" else rows
+        tables[f"master_{child}"] = marts.person_child_master(child, rows)
+    for target, view in catalog.ORGANIZATION_INGRESS_VIEW.items():
+        rows = marts.staging_view(data[view], view)
+        rows = _lacking(rows) if target == "hco_name" else rows
+        tables[f"mdm_{target}"] = marts.organization_ingress(target, rows)
+        tables[f"master_{target}"] = marts.organization_child_master(
+            target, tables[f"mdm_{target}"]
+        )
+    return tables
+
+
+@query(
+    "agg_18_not_null_marts",
+    f"""WITH {derive("hcp_name", "hco_address", "hco_name")}, failing AS (
+      SELECT t AS table_name, count(*) AS failures FROM hcp_name,
+        (VALUES ('mdm_hcp'), ('master_hcp')) v(t) WHERE iqvia_id LIKE '%7' GROUP BY t
+      UNION ALL SELECT t, count(*) FROM hco_address, (VALUES ('mdm_hco'), ('master_hco')) v(t)
+        WHERE iqvia_id LIKE '%7' GROUP BY t
+      UNION ALL SELECT t, count(*) FROM hco_name,
+        (VALUES ('mdm_hco_name'), ('master_hco_name')) v(t) WHERE iqvia_id LIKE '%7' GROUP BY t
+      UNION ALL SELECT 'master_hcp_specialty', count(*) FROM lineitem
+        WHERE CAST(l_orderkey AS STRING) LIKE '%7'
+      UNION ALL SELECT t, 0 FROM (VALUES ('stg_hcp_license'), ('master_hcp_alternate_name'),
+        ('master_hcp_license'), ('master_hcp_therapeutic_area'), ('mdm_hco_phone'),
+        ('master_hco_phone'), ('mdm_hco_specialty'), ('master_hco_specialty'),
+        ('mdm_hco_alternate_identifier'), ('master_hco_alternate_identifier')) v(t))
+    SELECT *, CASE WHEN failures = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM failing""",
 )
+def agg_18_marts(data: Data) -> DataFrame:
+    return audit.not_null_tests({t: (df, "SOURCE_FK") for t, df in mart_tables(data).items()})
+
+
+_CATALOGED = ("customer", "orders", "part", "documents")
+
+
+def _column_sql(table: str) -> str:
+    return f"""SELECT '{table}' AS table_name, count(*) AS column_count,
+      count(*) FILTER (value > 0) AS filled_columns
+    FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM {table}) ON COLUMNS(*))"""
 
 
 @query(
@@ -333,14 +464,19 @@ def agg_19(data: Data) -> DataFrame:
 
 @query(
     "agg_19_column_counts",
-    f"""SELECT table_name, CAST(e AS BIGINT) AS expected_count, c AS column_count,
-      CASE WHEN c = e THEN 'PASS' ELSE 'MISMATCH' END AS status
-    FROM (VALUES ('customer', 5), ('orders', 7), ('gone', 1)) AS x(table_name, e)
-    LEFT JOIN (SELECT table_name, count(*) AS c FROM ({_DESCRIBED}) GROUP BY 1) USING (table_name)""",
+    f"""WITH {views_sql("hco_specialty", "hcp_name")}, counted AS (
+      {" UNION ALL ".join(_column_sql(t) for t in ("customer", "orders", "stg_hco_specialty", "stg_hcp_name"))})
+    SELECT table_name, CAST(e AS BIGINT) AS expected_count, column_count, filled_columns,
+      CASE WHEN column_count = e THEN 'PASS' ELSE 'MISMATCH' END AS status
+    FROM (VALUES ('customer', 5), ('orders', 7), ('stg_hco_specialty', 5), ('stg_hcp_name', 10),
+      ('gone', 1)) AS x(table_name, e) LEFT JOIN counted USING (table_name)""",
 )
 def agg_19_counts(data: Data) -> DataFrame:
-    columns = audit.column_catalog({t: data[t] for t in _CATALOGED})
-    return audit.column_counts(columns, {"customer": 5, "orders": 7, "gone": 1})
+    """Two tables, and two views of which some columns are null by definition."""
+    views = {f"stg_{v}": marts.staging_view(data[v], v) for v in ("hco_specialty", "hcp_name")}
+    columns = audit.column_catalog({t: data[t] for t in ("customer", "orders")} | views)
+    expected = {"customer": 5, "orders": 7, "stg_hco_specialty": 5, "stg_hcp_name": 10, "gone": 1}
+    return audit.column_counts(columns, expected)
 
 
 @query(

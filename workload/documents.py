@@ -352,19 +352,33 @@ def doc_09_all(data: Data) -> DataFrame:
     return out
 
 
+#: List of the organization model -> the lines of a text that are its entries.
+_ORGANIZATION_LINES = {
+    "identifiers": "x LIKE '%.'",
+    "addresses": "true",
+    "specialties": "length(x) > 60",
+    "phones": "x LIKE '%a%' AND x LIKE '%n%'",
+    "alternativeNames": "x NOT LIKE '% %'",
+    "relations": "x LIKE '%,%'",
+}
+
+
+_PLAIN_ENTRY = "named_struct('text', x)"
+
+
 def nested_organization(data: Data) -> DataFrame:
-    """One nested model per text: its lines are addresses and, with a comma, relations."""
-    empty = "array_remove(array(named_struct('code', '')), named_struct('code', ''))"
+    """One nested model per text: its lines are entries of all six lists."""
+    entry = {
+        "addresses": "named_struct('text', x, 'city', source)",
+        "relations": "named_struct('organizationEid', 'own', 'parent', lang, 'text', x)",
+    }
     lists = [
-        f"{empty} AS {name}"
-        for name in documents.ORGANIZATION_LISTS
-        if name not in ("addresses", "relations")
+        f"transform(filter({LINES}, x -> {condition}), x -> "
+        f"{entry.get(name, _PLAIN_ENTRY)}) AS {name}"
+        for name, condition in _ORGANIZATION_LINES.items()
     ]
     return data["documents"].selectExpr(
         "named_struct('organizationEid', CAST(doc_id AS STRING), 'name', source) AS organization",
-        f"transform({LINES}, x -> named_struct('addressLine1', x, 'city', source)) AS addresses",
-        f"""transform(filter({LINES}, x -> x LIKE '%,%'), x -> named_struct('organizationEid',
-          'own', 'parent', lang, 'text', x)) AS relations""",
         *lists,
     )
 
@@ -384,21 +398,34 @@ def doc_09_relations(data: Data) -> DataFrame:
     return tables["relations"]
 
 
-@query(
-    "doc_09_organization_tables",
-    LINES_SQL
-    + """, c AS (SELECT 'organization' AS child, count(*) AS n FROM documents UNION ALL
-      SELECT 'addresses', count(*) FROM lines UNION ALL
-      SELECT 'relations', count(*) FILTER (WHERE x LIKE '%,%') FROM lines)
-    SELECT child, n FROM c UNION ALL SELECT child, 0 FROM (VALUES ('identifiers'),
-      ('specialties'), ('phones'), ('alternativeNames')) AS t(child)""",
-)
+def _organization_sql() -> str:
+    """Rows, and sums of positions and lengths, of every list."""
+    parts = ["SELECT 'organization' AS child, count(*) AS n, 0 AS positions, 0 AS chars FROM documents"]
+    parts += [
+        f"SELECT '{name}', count(*), CAST(coalesce(sum(p), 0) AS BIGINT), CAST(coalesce(sum(length(x)), 0) "
+        f"AS BIGINT) FROM (SELECT x, row_number() OVER (PARTITION BY request_id ORDER BY i) - 1 AS p "
+        f"FROM lines WHERE {condition})"
+        for name, condition in _ORGANIZATION_LINES.items()
+    ]
+    return LINES_SQL + " UNION ALL ".join(parts)
+
+
+@query("doc_09_organization_tables", _organization_sql())
 def doc_09_organization_tables(data: Data) -> DataFrame:
     tables = documents.split_children(
         nested_organization(data), "organization", "organizationEid", documents.ORGANIZATION_LISTS
     )
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(t).alias("child"), "n")
-        for t, df in tables.items()
-    ]
+    none = F.lit(0).cast("bigint")
+    counts = []
+    for name, df in tables.items():
+        held = name in documents.ORGANIZATION_LISTS
+        positions = F.sum(F.col("position").cast("bigint")) if held else none
+        chars = F.sum(F.char_length("text").cast("bigint")) if held else none
+        counts.append(
+            df.agg(
+                F.count(F.lit(1)).alias("n"),
+                F.coalesce(positions, none).alias("positions"),
+                F.coalesce(chars, none).alias("chars"),
+            ).select(F.lit(name).alias("child"), "n", "positions", "chars")
+        )
     return reduce(DataFrame.unionAll, counts)

@@ -253,7 +253,7 @@ def prj_13(data: Data) -> DataFrame:
     return marts.person_master(marts.consolidate_person(person_views(data)))
 
 
-def _hub_child(table: str) -> list[str]:
+def hub_child(table: str) -> list[str]:
     """Select list giving a hub child table its columns from lineitem rows."""
     sources = list(catalog.PERSON_CHILD_MASTERS[table])
     values = (
@@ -267,7 +267,7 @@ def _hub_child(table: str) -> list[str]:
 
 
 def _register_child_master(table: str) -> None:
-    items = _hub_child(table)
+    items = hub_child(table)
     sql = (
         f"WITH hub AS (SELECT {', '.join(items)} FROM lineitem) "
         f"SELECT {_renames(catalog.PERSON_CHILD_MASTERS[table])} FROM hub"

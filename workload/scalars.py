@@ -393,6 +393,32 @@ def prj_08(data: Data) -> DataFrame:
     return data["orders"].alias("n").selectExpr(*canonical.projection(CANONICAL_MAP[:6]))
 
 
+@query(
+    "prj_08_configured_mapping",
+    """SELECT DISTINCT CAST(o_custkey AS STRING) AS customer_key, upper(o_orderstatus) AS status,
+      CAST(NULL AS STRING) AS comment, CAST(o_custkey AS BIGINT) AS "Batch_ID",
+      '2024-01-31' AS "Load_Date" FROM orders""",
+)
+def prj_08_configured(data: Data) -> DataFrame:
+    """The mapping comes from rows of the control table, which also holds another system's."""
+    config = data.spark.createDataFrame(
+        [
+            (" ERP ", system, "Orders", "canonical_orders", source, target, None)
+            for system, source, target in (
+                ("Sales", "n.o_custkey", "customer_key"),
+                ("sales ", "upper(n.o_orderstatus)", "status"),
+                ("sales", None, "comment"),
+                ("other", "n.o_totalprice", "price"),
+            )
+        ],
+        "source_identifier string, source_system_name string, src_tbl_nm string, "
+        "tgt_tbl_nm string, src_attribute string, tgt_attribute string, join_condition string",
+    )
+    mapping = canonical.mapping_rows(config, "erp", "SALES", "orders", "canonical_orders")
+    delta = data["orders"].withColumn("Batch_ID", F.col("o_custkey"))
+    return canonical.to_canonical(delta, mapping, load_time=F.lit("2024-01-31"))
+
+
 @query(
     "prj_09_canonical_distinct",
     """SELECT DISTINCT o_orderstatus AS status, CAST(o_custkey AS STRING) AS customer_key,
