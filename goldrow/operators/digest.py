@@ -46,11 +46,21 @@ def sums(hashes: Sequence[Column]) -> list[Column]:
     ]
 
 
+def _nullable(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType)) for f in kind])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_nullable(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_nullable(kind.keyType), _nullable(kind.valueType))
+    return kind
+
+
 def shaped_like(df: DataFrame, other: DataFrame) -> DataFrame:
     """The columns of ``other``, in its types, found in any spelling."""
     names = {c.lower(): c for c in df.columns}
     return df.select(
-        *[col(names[f.name.lower()]).cast(f.dataType).alias(f.name) for f in other.schema]
+        *[col(names[f.name.lower()]).cast(_nullable(f.dataType)).alias(f.name) for f in other.schema]
     )
 
 
