@@ -189,8 +189,9 @@ class _Trie:
 
 
 def _sorted_by(df: DataFrame, word: str) -> DataFrame:
-    head = F.substring(word, 1, HEAD)
-    return df.repartition(head).sortWithinPartitions(word)
+    # A number of tasks of its own: the rows are small, but each becomes many.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(partitions, F.substring(word, 1, HEAD)).sortWithinPartitions(word)
 
 
 def _prefix_nodes(batches) -> Iterator[pa.RecordBatch]:
