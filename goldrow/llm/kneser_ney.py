@@ -1,10 +1,13 @@
 """Interpolated Kneser-Ney character models, one per language, counted by Spark.
 
-A model sees a text as its words. A symbol is predicted from the up to three before it in
-its word; the border of a word is a symbol too. So the score of a word is the same wherever
-it stands: blocks of texts count and score each distinct word once.
-
-Spark counts the four-symbol grams of all words, and a model keeps every one of them: the
+A symbol is predicted from the up to three before it. Models of words (``grams_of``) stop at
+the borders of a word, which are a symbol too, so a word's score is the same wherever it
+stands: blocks of texts count and score each distinct word once. Models of running text
+(``text_grams``) go over the borders, so the order of words and their sentence marks count;
+white space of any kind is a border there. A symbol is the low 16 bits of a code point:
+characters beyond the first plane fall on others.
+
+Spark counts the four-symbol grams of all texts, and a model keeps every one of them: the
 discounts are estimated from how many grams occur once to four times, and shorter contexts
 count the distinct symbols before them, so a gram left out would bend both. Grams are those
 of distinct words, whose number grows far slower than the text.
@@ -66,6 +69,78 @@ def grams_of(words: pa.Array, fold_case: bool) -> Grams:
     )
 
 
+def text_grams(texts: list[str]) -> Grams:
+    """One gram per symbol of a text and one for its end, each after the three before it;
+    before a text stand borders."""
+    lengths = np.array([len(t) for t in texts], np.int64)
+    between = _BORDER * (ORDER - 1)
+    text = between + between.join(texts) + between
+    symbols = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    space = (symbols >= 9) & (symbols <= 13)
+    symbols = np.where(space, np.uint32(ord(_BORDER)), symbols & ((1 << _BITS) - 1)).astype(np.uint64)
+    code = symbols[ORDER - 1 :].copy()
+    for back in range(1, ORDER):
+        code |= symbols[ORDER - 1 - back : len(symbols) - back] << np.uint64(_BITS * back)
+    # Of the borders behind a text only the first is predicted.
+    ends = np.cumsum(lengths + ORDER - 1)
+    wanted = np.ones(len(code), bool)
+    for back in range(1, ORDER - 1):
+        wanted[ends - back] = False
+    encoded = pa.array(code[wanted]).dictionary_encode()
+    return Grams(
+        encoded.dictionary.to_numpy(),
+        encoded.indices.to_numpy(),
+        np.concatenate([[0], np.cumsum(lengths + 1)]),
+    )
+
+
+#: Bytes of text whose running grams are at hand at a time.
+PART_BYTES = 2 << 20
+
+
+def parts_by_language(block: pa.RecordBatch) -> Iterator[tuple[str, np.ndarray, Grams]]:
+    """The running grams of a block (language, text), in parts of one language: its name, the
+    rows of the part, and their grams."""
+    languages = block.column("language").dictionary_encode()
+    for code, name in enumerate(languages.dictionary.to_pylist()):
+        rows = np.flatnonzero(languages.indices.to_numpy() == code)
+        own = block.select(["text"]).append_column("row", pa.array(np.arange(block.num_rows)))
+        for part in blocks([own.take(pa.array(rows))], "text", PART_BYTES):
+            yield name, part.column("row").to_numpy(), text_grams(texts_of(part).to_pylist())
+
+
+def count_text_grams(df: DataFrame, text: str = "text", language: str = "lang") -> DataFrame:
+    """Rows (language, gram, n) of the running grams of all texts.
+
+    A null language counts as the language '', a null text as an empty one.
+    """
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches, "text"):
+            held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+            for name, _, grams in parts_by_language(block):
+                n = np.bincount(grams.codes, minlength=len(grams.grams))
+                held.setdefault(name, []).append((grams.grams, n))
+            for name, parts in held.items():
+                found, codes = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                n = np.bincount(codes, np.concatenate([n for _, n in parts]), len(found))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([name], pa.string()).take(pa.array(np.zeros(len(found), np.int32))),
+                        pa.array(found.view(np.int64)),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=["language", "gram", "n"],
+                )
+
+    rows = df.select(
+        F.coalesce(F.col(f"`{language}`").cast("string"), F.lit("")).alias("language"),
+        F.col(f"`{text}`").alias("text"),
+    )
+    counted = rows.mapInArrow(task, "language string, gram bigint, n bigint")
+    return counted.groupBy("language", "gram").agg(F.sum("n").alias("n"))
+
+
 def count_grams(
     df: DataFrame, text: str = "text", language: str = "lang", fold_case: bool = False
 ) -> DataFrame:

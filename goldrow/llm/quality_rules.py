@@ -1,11 +1,15 @@
 """Quality rules: counts of a text, and bands of its perplexity.
 
 The counts reject texts that are too short or repeat themselves. The verdict on the others
-is by perplexity: modified Kneser-Ney character models, one per language, are counted by
-Spark over all documents (``kneser_ney``); a document's perplexity under its language's
-model must lie in that language's band. Bands come from the documents that pass the counts:
-around the median of the cross-entropy, so many interquartile ranges down and up. Texts
-that say little new, such as templates, lie below; noise and foreign text above.
+is by perplexity: modified Kneser-Ney character models of running text, one per language,
+are counted by Spark over all documents (``kneser_ney``); a document's perplexity under its
+language's model must lie in that language's band. The models see how words follow each
+other, where sentences end and begin, and what a word looks like, so shuffled words, words
+at random, foreign text and noise lie above; texts that say little new lie below.
+
+Bands come from the documents that pass the counts. The mean of a short text varies more:
+deviations from the median of the cross-entropy are scaled by the root of n / (n + SPREAD)
+for n symbols, and a band reaches so many interquartile ranges of these down and up.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrow.llm.kneser_ney import Model, count_grams, fit, grams_of, word_scores
+from goldrow.llm.kneser_ney import Model, count_text_grams, fit, parts_by_language
 from goldrow.llm.words import WordTable, blocks, schema_with, segment_sums, texts_of, word_table
 from goldrow.session import write_through
 
@@ -27,7 +31,9 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 WINDOW_WORDS = 3
 #: Interquartile ranges from the median to either end of the band.
-BELOW, ABOVE = 4.0, 10.0
+BELOW, ABOVE = 3.0, 2.0
+#: Symbols of a text whose own subject varies its mean as much as its length does.
+SPREAD = 10_000
 
 _SPACE = " \t\n\x0b\x0c\r"
 _SYMBOLS = "#*$%&|<>"
@@ -80,25 +86,21 @@ def _counts(texts: pa.Array, table: WordTable) -> list[np.ndarray]:
     ]
 
 
-def _cross_entropy(languages: pa.Array, table: WordTable, models: dict[str, Model]) -> np.ndarray:
-    """Nats per symbol under the own language's model; NaN without words or model."""
-    grams = grams_of(table.words, fold_case=False)
-    symbols = table.sums(np.diff(grams.starts))
-    encoded = languages.dictionary_encode()
-    of_text = encoded.indices.to_numpy()
-    of_word = np.repeat(of_text, np.diff(table.starts))
-    loss = np.full(len(table.codes), np.nan)
-    for code, name in enumerate(encoded.dictionary.to_pylist()):
+def _cross_entropy(block: pa.RecordBatch, models: dict[str, Model]) -> np.ndarray:
+    """Nats per symbol under the own language's model; NaN without one."""
+    out = np.full(block.num_rows, np.nan)
+    for name, rows, grams in parts_by_language(block):
         if name in models:
-            own = of_word == code
-            loss[own] = -word_scores(models[name], grams)[table.codes[own]]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return segment_sums(loss, table.starts) / np.where(symbols > 0, symbols, np.nan)
+            loss = -models[name].log_probability(grams.grams)[grams.codes]
+            out[rows] = segment_sums(loss, grams.starts) / np.diff(grams.starts)
+    return out
 
 
 def train(docs: DataFrame, text: str = "text", language: str = "lang") -> dict[str, Model]:
     """Modified Kneser-Ney models of all languages, from all documents."""
-    return fit(write_through(count_grams(docs, text, language), "quality-grams"), modified=True)
+    return fit(
+        write_through(count_text_grams(docs, text, language), "quality-grams"), modified=True
+    )
 
 
 def apply_rules(
@@ -115,8 +117,9 @@ def apply_rules(
     """Add the counts, ``base_failed``, ``perplexity``, ``low``, ``high`` and ``kept``.
 
     Words are runs without white space. A null text has no words, and a text without words
-    fails the counts. A null language is a language of its own. A band needs documents that
-    pass the counts; a document without a band or a perplexity is judged by counts alone.
+    fails the counts. A null language is a language of its own, and a null text an empty one.
+    A band needs documents that pass the counts; a document without a band or a perplexity is
+    judged by counts alone. Equal rows get equal verdicts; an empty table gives an empty result.
     The text is left out unless ``keep_text``; input columns named as new ones are replaced.
     """
     new = (*COUNTS, "base_failed", "perplexity", "low", "high", "kept")
@@ -128,15 +131,17 @@ def apply_rules(
         F.col(f"`{text}`").alias("text"),
     )
     numbers = ", ".join(f"{c} bigint" for c in COUNTS)
-    schema = schema_with(rows, ["row", "language"], f"{numbers}, cross_entropy double")
+    schema = schema_with(
+        rows, ["row", "language"], f"{numbers}, length bigint, cross_entropy double"
+    )
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
             texts = texts_of(block)
             table = word_table(texts)
-            entropy = _cross_entropy(block.column("language"), table, shared.value)
             columns = [pa.array(c) for c in _counts(texts, table)]
-            columns.append(pa.array(entropy, from_pandas=True))
+            columns.append(pc.utf8_length(texts).cast(pa.int64()))
+            columns.append(pa.array(_cross_entropy(block, shared.value), from_pandas=True))
             yield pa.RecordBatch.from_arrays(
                 [block.column("row"), block.column("language"), *columns], names=schema.names
             )
@@ -147,16 +152,25 @@ def apply_rules(
     counted = write_through(
         rows.mapInArrow(task, schema).withColumn("base_failed", failed), "quality"
     )
-    quarters = F.percentile_approx("cross_entropy", [0.25, 0.5, 0.75], 10_000)
-    bands = counted.where("NOT base_failed").groupBy("language").agg(quarters.alias("q"))
-    q = F.col("q")
-    bands = bands.select(
-        "language",
-        (q[1] - below * (q[2] - q[0])).alias("least"),
-        (q[1] + above * (q[2] - q[0])).alias("most"),
+    passing = counted.where("NOT base_failed")
+    middle = F.percentile_approx("cross_entropy", 0.5, 10_000).alias("median")
+    medians = passing.groupBy("language").agg(middle)
+    # One row per language that has a model; models are on every machine already.
+    n = F.col("length") + 1
+    scale = F.sqrt(n / (n + SPREAD))
+    deviation = (F.col("cross_entropy") - F.col("median")) * scale
+    quarters = F.percentile_approx(deviation, [0.25, 0.75], 10_000)
+    bands = (
+        passing.join(F.broadcast(medians), "language")
+        .groupBy("language")
+        .agg(F.first("median").alias("median"), quarters.alias("q"))
+        .select("language", "median", (F.col("q")[1] - F.col("q")[0]).alias("range"))
+    )
+    banded = (
+        counted.join(F.broadcast(bands), "language", "left")
+        .withColumn("least", F.col("median") - below * F.col("range") / scale)
+        .withColumn("most", F.col("median") + above * F.col("range") / scale)
     )
-    # One band per language that has a model; models are on every machine already.
-    banded = counted.join(F.broadcast(bands), "language", "left")
     inside = F.col("cross_entropy").between(F.col("least"), F.col("most"))
     return banded.select(
         *[F.col("row")[c].alias(c) for c in kept],
