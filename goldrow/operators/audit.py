@@ -30,6 +30,12 @@ def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     return _tagged({t: df.agg(F.count(F.lit(1)).alias("row_count")) for t, df in tables.items()})
 
 
+def stored_counts(batches: Mapping[str, DataFrame]) -> DataFrame:
+    """AGG-07 from the batch counts that versions of tables hold: no table is read."""
+    total = F.coalesce(F.sum("row_count"), F.lit(0)).alias("row_count")
+    return _tagged({t: df.agg(total) for t, df in batches.items()})
+
+
 def emptiness(tables: Mapping[str, DataFrame]) -> DataFrame:
     """SRT-03: whether each table is empty; at most one row of each is read on."""
     probe = {t: df.select(F.lit(1).alias("_row")).limit(1) for t, df in tables.items()}

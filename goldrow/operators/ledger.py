@@ -164,6 +164,18 @@ def events_of(ledger: DataFrame, *, event_seq: int = 0) -> DataFrame:
     )
 
 
+def latest_events(events: DataFrame) -> DataFrame:
+    """Of each batch, source and stage the event that decides its state."""
+    names = ("batch_id", "source_system_name", "stage")
+    others = [c for c in events.columns if c not in names]
+    last = F.max_by(F.struct(*others), F.struct("event_seq", "event_time", "status"))
+    return (
+        events.groupBy(*names)
+        .agg(last.alias("_last"))
+        .select(*[F.col(c) if c in names else F.col("_last")[c].alias(c) for c in events.columns])
+    )
+
+
 def current_state(events: DataFrame, stages: Iterable[str] = STAGES) -> DataFrame:
     """The wide ledger: latest status per batch, source and stage, by one aggregation.
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +18,7 @@ from goldrow.operators import canonical, dedup, incremental, ingress, ledger, qu
 from goldrow.operators.standardize import standardize
 from goldrow.plans.catalog import REFERENCE_TABLE, rules_for
 from goldrow.plans.specs import FieldMap, JoinSpec, StandardizeRule
-from goldrow.sinks import writers
+from goldrow.sinks import versions, writers
 
 
 @dataclass(frozen=True)
@@ -59,13 +59,76 @@ class Entity:
 
 
 def record(layers: Layers, events: DataFrame) -> None:
-    """Append ledger events."""
-    events.write.mode("append").parquet(layers.path("control", "ledger"))
+    """Append ledger events, as one numbered version: all of them are seen or none."""
+    writers.write_table(events, layers.path("control", "ledger"), "append", ())
+
+
+def ledger_events(layers: Layers) -> DataFrame:
+    kinds = layers.spark.createDataFrame([], ledger.EVENT_SCHEMA).schema
+    return writers.read_layer(layers.spark, layers.path("control", "ledger"), kinds)
 
 
 def ledger_state(layers: Layers) -> DataFrame:
-    events = layers.spark.read.schema(ledger.EVENT_SCHEMA).parquet(layers.path("control", "ledger"))
-    return ledger.current_state(events)
+    return ledger.current_state(ledger_events(layers))
+
+
+def compact_ledger(layers: Layers) -> int:
+    """Keep the latest event per batch, source and stage; the state stays what it is.
+
+    Events that are recorded meanwhile are not lost: the compaction starts anew.
+    """
+    path = layers.path("control", "ledger")
+    while True:
+        base = versions.version(layers.spark, path)
+        latest = ledger.latest_events(versions.read(layers.spark, path, base))
+        try:
+            return versions.write(latest, path, (), mode="all", base=base)
+        except versions.ConflictError:
+            continue
+
+
+CLAIM_SCHEMA = (
+    "stage string, source_system_name string, batch_id long, runner string, until timestamp"
+)
+
+
+def claim(
+    layers: Layers,
+    stage: str,
+    source: str,
+    batch_ids: Sequence[int],
+    runner: str,
+    at: datetime,
+    lease: timedelta = timedelta(hours=1),
+) -> datetime:
+    """Take pending batches for one runner until the lease ends, which is returned.
+
+    Of two runners that take one batch at once, one is refused: claims are one versioned
+    table, and a claim is its next number. A batch that may not enter the stage, or that
+    another runner holds, is refused as well; the same runner may claim again.
+    """
+    wanted = set(batch_ids)
+    missing = sorted(wanted - set(pending(layers, stage, source)))
+    if missing:
+        raise RuntimeError(f"batches {missing} of {source} may not enter {stage}")
+    spark, path = layers.spark, layers.path("control", "claims")
+    base = versions.version(spark, path)
+    kinds = spark.createDataFrame([], CLAIM_SCHEMA).schema
+    # Open claims are few, at most one per batch that is being worked on.
+    held = versions.read(spark, path, base, kinds).where(F.col("until") > F.lit(at)).collect() if base else []
+    ours = lambda c: (c["stage"], c["source_system_name"]) == (stage, source) and c["batch_id"] in wanted
+    taken = sorted(c["batch_id"] for c in held if ours(c) and c["runner"] != runner)
+    if taken:
+        raise versions.ConflictError(f"batches {taken} of {source} are taken at {stage}")
+    rows = [tuple(c) for c in held if not ours(c)]
+    rows += [(stage, source, b, runner, at + lease) for b in sorted(wanted)]
+    if base is None:
+        versions.commit(
+            spark, path, versions.stage(spark.createDataFrame([], kinds), path, ()), None, mode="all"
+        )
+        base = versions.version(spark, path, 1)
+    versions.write(spark.createDataFrame(rows, kinds), path, (), mode="all", base=base)
+    return at + lease
 
 
 def pending(layers: Layers, stage: str, source: str) -> list[int]:

@@ -60,15 +60,18 @@ def read_layer(
     path: str,
     schema: T.StructType | None = None,
     version: int | None = None,
+    within: Mapping[str, tuple] | None = None,
 ) -> DataFrame:
     """A layer table with the columns of all batches (SNK-07), or those of ``schema``.
 
     The newest version, or the one that is named; it stays the same whatever is written
-    later. A table that was written by others is read by its files' merged schemas.
+    later. ``within`` keeps rows whose columns lie in ranges, and reads no batch that was
+    written with these columns watched and holds none. A table that was written by others
+    is read by its files' merged schemas.
     """
     held = versions.version(spark, path, version)
     if held is not None:
-        return versions.read(spark, path, held, schema)
+        return versions.read(spark, path, held, schema, within)
     text = read_text(spark, f"{path}/{_SCHEMA}")
     schema = schema or (T.StructType.fromJson(json.loads(text)) if text else None)
     reader = spark.read.schema(schema) if schema else spark.read.option("mergeSchema", "true")
@@ -104,15 +107,16 @@ def replace_batches(
     path: str,
     keys: Sequence[str] = ("batch_id",),
     emptied: Iterable[Sequence[object]] = (),
+    watch: Sequence[str] = (),
 ) -> int:
     """SNK-02 / SNK-03: replace the batches that occur in ``df``, keep all others.
 
     One new version of the table; until it is there, readers see the old rows. Running it
     again with the same rows changes nothing. A batch whose rows are all gone does not
     occur in ``df``: those that the write stands for are named in ``emptied``, and go if
-    they have no rows.
+    they have no rows. The ranges of ``watch`` are kept with each batch.
     """
-    return _write(df, path, keys, mode="batches", emptied=emptied)
+    return _write(df, path, keys, mode="batches", emptied=emptied, watch=watch)
 
 
 def load_raw(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +11,7 @@ from goldrow.operators import ledger
 from goldrow.plans import stages
 from goldrow.plans.specs import FieldMap, StandardizeRule
 from goldrow.session import scratch_path
-from goldrow.sinks import writers
+from goldrow.sinks import versions, writers
 from goldrow.streaming.feed import FEED_SCHEMA, stream_feed
 from tests.conftest import SMALL
 from workload import Data
@@ -120,6 +120,63 @@ def test_rerun_changes_nothing(spark, layers):
     assert layers.read("landing", "hcp_name").count() == before
 
 
+@pytest.fixture
+def opened(spark):
+    out = stages.Layers(spark, scratch_path(spark, "claims"))
+    batches = spark.createDataFrame(
+        [(b, SOURCE, datetime(2024, 1, b), None) for b in (1, 2, 3)],
+        "batch_id long, source_system_name string, batch_start_time timestamp, "
+        "batch_end_time timestamp",
+    )
+    stages.record(out, ledger.transition(batches, "raw_ingestion", "Y", event_seq=0, event_time=now()))
+    return out
+
+
+def test_a_batch_is_taken_by_one_runner(opened):
+    until = stages.claim(opened, "stdz", SOURCE, [1, 2], "a", AT)
+    assert until == AT + timedelta(hours=1)
+    with pytest.raises(versions.ConflictError, match=r"\[2\] of CRM are taken"):
+        stages.claim(opened, "stdz", SOURCE, [2, 3], "b", AT)
+    stages.claim(opened, "stdz", SOURCE, [3], "b", AT)
+    stages.claim(opened, "stdz", SOURCE, [1, 2], "a", AT)
+    with pytest.raises(RuntimeError, match=r"\[1\] of CRM may not enter canonical"):
+        stages.claim(opened, "canonical", SOURCE, [1], "a", AT)
+    # The lease of a runner that is gone ends.
+    stages.claim(opened, "stdz", SOURCE, [2, 3], "c", AT + timedelta(hours=2))
+
+
+def test_two_runners_at_once(opened, monkeypatch):
+    """Both see the batch free; the one that commits second is refused."""
+    plain, order = versions.write, []
+
+    def late(df, path, partitions, **options):
+        if path.endswith("claims") and not order:
+            order.append("other")
+            stages.claim(opened, "stdz", SOURCE, [1], "b", AT)
+        return plain(df, path, partitions, **options)
+
+    monkeypatch.setattr(versions, "write", late)
+    with pytest.raises(versions.ConflictError):
+        stages.claim(opened, "stdz", SOURCE, [1], "a", AT)
+    with pytest.raises(versions.ConflictError, match="are taken"):
+        stages.claim(opened, "stdz", SOURCE, [1], "a", AT)
+
+
+def test_compaction_keeps_the_state(opened):
+    for seq, status in enumerate(("N", "Y", "N"), 1):
+        stages.mark_done(opened, "stdz", SOURCE, [1, 2], AT, seq)
+        reset = ledger.reset_latest(
+            stages.ledger_state(opened), SOURCE, ["stdz"], event_seq=seq + 1, event_time=now()
+        )
+        if status == "N":
+            stages.record(opened, reset)
+    state = lambda: sorted(map(tuple, stages.ledger_state(opened).collect()), key=repr)
+    before, events = state(), stages.ledger_events(opened).count()
+    kept = stages.compact_ledger(opened)
+    assert state() == before and kept < events
+    assert stages.pending(opened, "stdz", SOURCE) == [3]
+
+
 def test_failures_are_collected():
     def stage(table):
         if table != "good":

@@ -189,3 +189,51 @@ def test_snapshot_is_replaced_as_a_whole(spark):
     assert writers.read_layer(spark, path).count() == 3
     writers.snapshot(spark.range(7), root, "HCP", date(2024, 1, 31))
     assert (opened.count(), writers.read_layer(spark, path).count()) == (3, 7)
+
+
+def test_batches_outside_of_the_window_are_not_read(spark):
+    path = scratch_path(spark, "ranges")
+    rows = spark.range(300).selectExpr(
+        "id", "date_add(DATE'2024-01-01', CAST(id AS INT)) AS day", "CAST(id DIV 100 AS STRING) AS s",
+        "CAST(id DIV 50 AS BIGINT) AS batch_id",
+    )
+    none = spark.range(1).selectExpr("1000L AS id", "CAST(NULL AS DATE) AS day", "'x' AS s", "99L AS batch_id")
+    writers.replace_batches(rows.unionByName(none), path, watch=["DAY", "id", "s"])
+    whole = writers.read_layer(spark, path)
+    assert len(whole.inputFiles()) == 7
+    for within, files in (
+        ({"day": ("2024-01-05", "2024-01-06")}, 1),
+        ({"id": (40, 120)}, 3),
+        ({"id": (40, 120), "S": ("1", "1")}, 1),
+        ({"day": ("2024-02-19", "2024-02-20")}, 2),
+        ({"id": (5000, 6000)}, 0),
+    ):
+        got = writers.read_layer(spark, path, within=within)
+        want = whole
+        for c, (low, high) in within.items():
+            want = want.where(F.col(c).cast("string" if isinstance(low, str) else "long").between(low, high))
+        assert held(got) == held(want)
+        assert len(got.inputFiles()) == files
+    plan = writers.read_layer(spark, path, within={"id": (40, 120)})._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(id,40)" in plan
+    # A batch written without watching it may hold anything.
+    writers.replace_batches(rows.where("batch_id = 5"), path)
+    assert len(writers.read_layer(spark, path, within={"id": (40, 120)}).inputFiles()) == 4
+
+
+def test_counts_follow_every_change_without_reading(spark, path):
+    def recount():
+        table = writers.read_layer(spark, path)
+        return sorted((str(r["batch_id"]), r["count"]) for r in table.groupBy("batch_id").count().collect())
+
+    changes = [
+        ([(5, 1), (6, 1), (7, 1)], []), ([], [(2,)]), ([(1, 2), (1, None)], []), ([], [(1,), (None,)]), ([(4, 1)], [(2,)]),
+    ]
+    for rows, emptied in changes:
+        writers.replace_batches(table(spark, rows), path, emptied=emptied)
+        counts = versions.batch_rows(spark, path)
+        plan = counts._jdf.queryExecution().executedPlan().toString()
+        assert "FileScan" not in plan
+        assert sorted((str(r["batch_id"]), r["row_count"]) for r in counts.collect()) == recount()
+    writers.write_table(table(spark, [(8, 1)]), path, "append")
+    assert [tuple(r) for r in versions.batch_rows(spark, path).collect()] == [("1", 2)]

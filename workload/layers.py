@@ -7,10 +7,11 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldrow.operators import audit, ledger
 from goldrow.plans import stages
 from goldrow.plans.specs import FieldMap
 from goldrow.session import scratch_path
-from goldrow.sinks import writers
+from goldrow.sinks import versions, writers
 from workload.base import Data, derive, query
 from workload.quality import now
 from workload.sinks import _BATCH, customers
@@ -129,3 +130,69 @@ def snk_02_emptied(data: Data) -> DataFrame:
     for counts in [*found, *_held(layers, "emptied")]:
         out = counts if out is None else out.unionByName(counts)
     return out
+
+
+@query(
+    "prj_03_skipped_batches",
+    """SELECT o_orderkey, o_orderstatus, CAST(year(o_orderdate) AS BIGINT) AS batch_id FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1995-03-01' AND o_orderdate <= TIMESTAMP '1996-02-15'""",
+)
+def prj_03_skipped(data: Data) -> DataFrame:
+    """A window over a table whose batches keep the ranges of its date: two are read."""
+    return dated_orders(data).drop("o_orderdate")
+
+
+def dated_orders(data: Data) -> DataFrame:
+    path = scratch_path(data.spark, "dated")
+    orders = data["orders"].select(
+        "o_orderkey", "o_orderstatus", "o_orderdate", F.year("o_orderdate").cast("long").alias("batch_id")
+    )
+    writers.replace_batches(orders, path, watch=["o_orderdate"])
+    window = {"o_orderdate": ("1995-03-01 00:00:00", "1996-02-15 00:00:00")}
+    return writers.read_layer(data.spark, path, within=window)
+
+
+@query(
+    "agg_07_maintained_counts",
+    f"""WITH held AS (SELECT {_BATCH} AS batch_id, CASE WHEN c_nationkey = 3 THEN 2 ELSE 1 END AS times
+      FROM customer WHERE c_nationkey <> 7)
+    SELECT 'CUSTOMER' AS table_name, NULL AS batch_id, CAST(sum(times) AS BIGINT) AS row_count FROM held
+    UNION ALL SELECT 'EMPTY', NULL, 0
+    UNION ALL SELECT 'CUSTOMER', CAST(batch_id AS STRING), CAST(sum(times) AS BIGINT) FROM held GROUP BY 2""",
+)
+def agg_07_maintained(data: Data) -> DataFrame:
+    """Counts after a replacement, an emptied batch and one loaded again, from the versions."""
+    path, empty = scratch_path(data.spark, "counted"), scratch_path(data.spark, "counted")
+    rows = customers(data)
+    writers.replace_batches(rows, path)
+    third = rows.where("batch_id = 20240104")
+    writers.replace_batches(third.unionAll(third), path)
+    writers.replace_batches(rows.where("false"), path, emptied=[(20240108,), (20240110,)])
+    writers.replace_batches(rows.where("batch_id = 20240110"), path)
+    writers.replace_batches(rows, empty)
+    writers.replace_table(rows.where("false"), empty)
+    batches = {t: versions.batch_rows(data.spark, p) for t, p in (("CUSTOMER", path), ("EMPTY", empty))}
+    totals = audit.stored_counts(batches).withColumn("batch_id", F.lit(None).cast("string"))
+    own = batches["CUSTOMER"].withColumn("table_name", F.lit("CUSTOMER"))
+    return totals.unionByName(own.select(*totals.columns))
+
+
+@query(
+    "prj_24_compacted_ledger",
+    f"""WITH {derive("ledger")} SELECT moment, batch_id, source_system_name, raw_ingestion_status,
+      CASE WHEN raw_ingestion_status = 'Y' AND stdz_status IS NULL THEN 'Y' ELSE stdz_status END AS stdz_status
+    FROM ledger, (VALUES ('before'), ('after')) m(moment)""",
+)
+def prj_24_compacted(data: Data) -> DataFrame:
+    """The state of the recorded ledger before and after its events are compacted."""
+    layers = stages.Layers(data.spark, scratch_path(data.spark, "ledger"))
+    wide = data["ledger"]
+    stages.record(layers, ledger.events_of(wide))
+    waiting = wide.where(ledger.gate("stdz") & F.col("stdz_status").isNull())
+    stages.record(layers, ledger.transition(waiting, "stdz", "Y", event_seq=1, event_time=now()))
+    before = stages.ledger_state(layers)
+    stages.compact_ledger(layers)
+    states = {"before": before, "after": stages.ledger_state(layers)}
+    columns = ("batch_id", "source_system_name", "raw_ingestion_status", "stdz_status")
+    tagged = [df.select(F.lit(m).alias("moment"), *columns) for m, df in states.items()]
+    return tagged[0].unionByName(tagged[1])
