@@ -7,6 +7,10 @@ language's model must lie in that language's band. The models see how words foll
 other, where sentences end and begin, and what a word looks like, so shuffled words, words
 at random, foreign text and noise lie above; texts that say little new lie below.
 
+A passage in another language should not decide about a document: perplexity is that of
+the ``KEPT_SHARE`` of a text's windows that the model expects best. Salad and noise are
+unexpected everywhere.
+
 Bands come from the documents that pass the counts. The mean of a short text varies more:
 deviations from the median of the cross-entropy are scaled by the root of n / (n + SPREAD)
 for n symbols, and a band reaches so many interquartile ranges of these down and up.
@@ -32,6 +36,8 @@ MAX_REPEAT_PERCENT = 50
 WINDOW_WORDS = 3
 #: Interquartile ranges from the median to either end of the band.
 BELOW, ABOVE = 3.0, 2.0
+#: Symbols of a window, and the share of a text's windows, the best, that is judged.
+WINDOW, KEPT_SHARE = 256, 2 / 3
 #: Symbols of a text whose own subject varies its mean as much as its length does.
 SPREAD = 10_000
 
@@ -86,13 +92,29 @@ def _counts(texts: pa.Array, table: WordTable) -> list[np.ndarray]:
     ]
 
 
+def best_windows(loss: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Mean loss of the best windows of each text, whose symbols are
+    ``loss[starts[i]:starts[i + 1]]``. The last window that fits in the share counts in part;
+    a short text is one window."""
+    n = np.diff(starts)
+    windows = np.maximum(1, np.rint(n / WINDOW)).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(windows)])
+    text = np.repeat(np.arange(len(n)), windows)
+    place = np.arange(first[-1]) - first[text]
+    begin = starts[text] + place * n[text] // windows[text]
+    mean = np.add.reduceat(loss, begin) / np.diff(np.append(begin, starts[-1]))
+    ordered = mean[np.lexsort((mean, text))]
+    weight = np.clip(KEPT_SHARE * windows[text] - place, 0, 1)
+    return segment_sums(weight * ordered, first) / (KEPT_SHARE * windows)
+
+
 def _cross_entropy(block: pa.RecordBatch, models: dict[str, Model]) -> np.ndarray:
-    """Nats per symbol under the own language's model; NaN without one."""
+    """Nats per symbol of the best windows under the own language's model; NaN without one."""
     out = np.full(block.num_rows, np.nan)
     for name, rows, grams in parts_by_language(block):
         if name in models:
             loss = -models[name].log_probability(grams.grams)[grams.codes]
-            out[rows] = segment_sums(loss, grams.starts) / np.diff(grams.starts)
+            out[rows] = best_windows(loss, grams.starts)
     return out
 
 
