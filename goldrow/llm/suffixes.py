@@ -155,7 +155,7 @@ def _cut_contexts(batches) -> Iterator[pa.RecordBatch]:
                     out, (h, c, own_id, at, bytes(context) if new else None), strict=True
                 ):
                     column.append(value)
-        kinds = [pa.int64()] * 4 + [pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(v, k) for v, k in zip(out, kinds, strict=True)],
             names=["h", "c", "id", "at", "context"],
@@ -381,13 +381,14 @@ def _spans(docs: DataFrame) -> DataFrame:
         .select("h"),
         "anchors",
     )
-    shared = docs.mapInArrow(_list_anchors, "h bigint, id bigint, at bigint").join(
+    shared = docs.mapInArrow(_list_anchors, "h bigint, id binary, at bigint").join(
         again, "h", "left_semi"
     )
-    by_text = shared.groupBy("id").agg(F.collect_list(F.struct("h", "at")).alias("anchors"))
+    # Equal rows have one id: its anchors are listed once, and each row is cut at them.
+    by_text = shared.groupBy("id").agg(F.collect_set(F.struct("h", "at")).alias("anchors"))
     cut = write_through(
         docs.join(by_text, "id").mapInArrow(
-            _cut_contexts, "h bigint, c bigint, id bigint, at bigint, context binary"
+            _cut_contexts, "h bigint, c bigint, id binary, at bigint, context binary"
         ),
         "contexts",
     )
@@ -435,13 +436,17 @@ def remove_repeats(
 
     Every byte goes that a string of ``LENGTH`` bytes covers which starts elsewhere too, in
     this or any other row; strings do not cross rows, and copies lose all of their bytes. A
-    null text is empty. Keys may repeat or be null; a row is told by a 64-bit hash of its key
-    and text, and rows equal in both are alike.
+    null text is empty. Keys may repeat or be null; a row is told by a 128-bit hash of its key
+    and text, and rows equal in both are alike. An empty table gives an empty result.
     """
+    halves = [
+        F.unhex(F.lpad(F.hex(F.xxhash64(F.lit(seed), F.col(f"`{key}`"), F.col(f"`{text}`"))), 16, "0"))
+        for seed in (42, 43)
+    ]
     others = [c for c in df.columns if c not in (text, "n_bytes", "removed", "kept")]
     rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in others]).alias("row"),
-        F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")).alias("id"),
+        F.concat(*halves).alias("id"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"),
     )
     spans = _spans(rows.select("id", "text").where(F.octet_length("text") >= LENGTH))

@@ -234,7 +234,8 @@ def near_duplicates(
     Only rows of equal labels link. Rows without label or key, and vectors that are null,
     empty, zero, or hold a null or non-finite component, link with nothing: they have no
     links and are their own component. Vectors of unlike dimensions do not link. Repeated
-    rows are others to each other. A row without key has no component and is kept.
+    rows are others to each other, and of rows with one key each has the links of its own
+    vector. A row without key has no component and is kept. No rows, no result.
     """
     rows = df.select(
         F.col(f"`{key}`").cast("bigint").alias("id"),
@@ -244,27 +245,39 @@ def near_duplicates(
     usable = F.coalesce(_usable(F.col("vector")), F.lit(False))
     usable &= F.col("id").isNotNull() & F.col("label").isNotNull()
     good = rows.where(usable)
+    # Classes have numbers of their own, as one key may stand for several vectors.
     classes = write_through(
         good.groupBy("label", "vector")
-        .agg(F.min("id").alias("id"), F.count("*").alias("weight"))
-        .select("id", "label", F.size("vector").alias("dim"), "vector", "weight"),
+        .agg(F.min("id").alias("first"), F.count("*").alias("weight"))
+        .select(
+            F.monotonically_increasing_id().alias("id"),
+            "first",
+            "label",
+            F.size("vector").alias("dim"),
+            "vector",
+            "weight",
+        ),
         "vectors",
     )
-    # An id that stands for two vectors would mix their links.
-    joined = write_through(range_join(classes, min_cosine, **options), "links")
+    joined = write_through(
+        range_join(classes.drop("first"), min_cosine, **options), "links"
+    )
     linked = joined.groupBy("id").agg(F.sum("links").alias("links"))
     grouped = components(joined.select(F.col("id").alias("a"), F.col("root").alias("b")))
-    named = write_through(
+    found = write_through(
         classes.join(linked, "id", "left")
         .join(grouped.withColumnRenamed("node", "id"), "id", "left")
         .select(
             "label",
             "vector",
+            "first",
             (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("n_links"),
-            F.coalesce("component", "id").alias("component_id"),
+            F.coalesce("component", "id").alias("component"),
         ),
         "classes",
     )
+    least = found.groupBy("component").agg(F.min("first").alias("component_id"))
+    named = write_through(found.join(least, "component").drop("component", "first"), "named")
     known = good.join(named, ["label", "vector"]).select("id", "n_links", "component_id")
     alone = rows.where(~usable).select(
         "id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")

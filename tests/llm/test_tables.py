@@ -84,6 +84,15 @@ def test_range_join_of_odd_tables(spark):
     assert sorted(rows, key=repr) == [(1, 1, 1, True), (1, 1, 1, True), (None, 0, None, True)]
 
 
+def test_one_id_with_two_vectors(spark):
+    """Each row has the links of its own vector."""
+    kinds = "vec_id long, embedding array<double>, label int"
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (2, [1.0, 0.01], 0), (0, [0.02, 1.0], 0), (0, [5.0, 0.0], 1)]
+    df = spark.createDataFrame(rows, kinds).selectExpr("*", "1 AS id", "2 AS cell", "3 AS home", "4 AS first")
+    got = sorted(tuple(r) for r in vectors.near_duplicates(df).collect())
+    assert got == [(0, 0, 0, True), (0, 1, 0, True), (1, 1, 0, False), (1, 1, 1, True), (2, 1, 1, False)]
+
+
 @pytest.fixture
 def archive(spark):
     pages = [

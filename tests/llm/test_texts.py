@@ -328,6 +328,28 @@ def test_components_of_a_path_and_a_star(spark):
     assert {r["component"] for r in rows if r["node"] >= 1000} == {1000}
 
 
+def test_equal_rows_meet_once_per_row(spark, monkeypatch):
+    """Many equal rows without a key: contexts grow with the rows, not with their square."""
+    text = " ".join(f"v{i * i % 7919}" for i in range(300))
+    contexts = []
+    plain = suffixes.write_through
+
+    def seen(df, label):
+        out = plain(df, label)
+        if label == "contexts":
+            contexts.append(out.count())
+        return out
+
+    monkeypatch.setattr(suffixes, "write_through", seen)
+    for copies in (20, 200):
+        rows = [(None, text)] * copies + [(1, "short"), (2, "x" + text[:150])]
+        df = spark.createDataFrame(rows, "doc_id long, text string")
+        for r in suffixes.remove_repeats(df).collect():
+            gone = sum(s["stop"] - s["start"] for s in r["removed"])
+            assert gone == (len(text) if r["doc_id"] is None else 0)
+    assert contexts[1] == 10 * contexts[0]
+
+
 # --- quality rules
 
 
