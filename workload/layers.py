@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from goldrow.operators import audit, ledger
+from goldrow.operators import audit, history, ledger
 from goldrow.plans import stages
 from goldrow.plans.specs import FieldMap
 from goldrow.session import scratch_path
@@ -196,3 +196,30 @@ def prj_24_compacted(data: Data) -> DataFrame:
     columns = ("batch_id", "source_system_name", "raw_ingestion_status", "stdz_status")
     tagged = [df.select(F.lit(m).alias("moment"), *columns) for m, df in states.items()]
     return tagged[0].unionByName(tagged[1])
+
+
+@query(
+    "set_03_distinct_against_history",
+    """SELECT 1 AS load, o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 2, o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 4, o_orderkey, o_orderstatus, o_orderpriority FROM orders
+      WHERE o_orderstatus = 'F' AND o_orderpriority <> '5-LOW'
+    UNION ALL SELECT 4, o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderstatus = 'P'""",
+)
+def set_03_history(data: Data) -> DataFrame:
+    """The second file holds the first again, the third nothing new; then the first is
+    replaced by a part of itself, and the fourth has all rows."""
+    path = scratch_path(data.spark, "history")
+    orders = data["orders"].select("o_orderkey", "o_orderstatus", "o_orderpriority")
+    first = orders.where("o_orderstatus = 'F'")
+    second = orders.where("o_orderstatus <> 'P'")
+    found = [history.unseen(first.unionAll(first), path, 1), history.unseen(second, path, 2)]
+    found.append(history.unseen(second.where("o_orderpriority = '5-LOW'"), path, 3))
+    history.unseen(first.where("o_orderpriority = '5-LOW'"), path, 1)
+    history.unseen(second.where("o_orderstatus = 'O'"), path, 2)
+    found.append(history.unseen(orders, path, 4))
+    out = None
+    for load, rows in enumerate(found, 1):
+        tagged = rows.withColumn("load", F.lit(load))
+        out = tagged if out is None else out.unionByName(tagged)
+    return out
