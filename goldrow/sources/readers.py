@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +77,37 @@ def read_documents(spark: SparkSession, path: str, per_line: bool = False) -> Da
     return union_filled([text(p) for p in parts])
 
 
+def read_records(spark: SparkSession, path: str, per_line: bool = False) -> DataFrame:
+    """SRC-07 without a look at the files beforehand: rows (file, position, record).
+
+    ``record`` is a variant, so documents of any shape pass in one scan; a file of one
+    document per line is split by its bytes. A document that is a list gives its items, one
+    with a list of objects under ``data`` gives those, any other is one record, also one
+    whose ``data`` is null. What is no JSON is a null record; a list without items is none.
+    """
+    lines = spark.read.text(path, wholetext=not per_line)
+    parsed = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("_document")
+    )
+    whole = F.try_variant_get("_document", "$", "array<variant>")
+    data = F.try_variant_get("_document", "$.data", "array<variant>")
+    objects = F.exists(data, lambda x: F.schema_of_variant(x).startswith("OBJECT"))
+    records = F.coalesce(whole, F.when(objects, data), F.array("_document"))
+    # The outer form, because the filter inferred for a plain explode would parse twice.
+    out = parsed.select("file", F.posexplode_outer(records).alias("position", "record"))
+    return out.where("position IS NOT NULL")
+
+
+def record_text(records: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Keys of records as text columns beside the others: nested values become JSON text,
+    a null or absent key is null."""
+    others = [c for c in records.columns if c != "record"]
+    # A path has no escapes; a name may hold one kind of quote.
+    quoted = lambda n: f'["{n}"]' if "'" in n else f"['{n}']"
+    values = [F.try_variant_get("record", f"${quoted(n)}", "string").alias(n) for n in names]
+    return records.select(*[col(c) for c in others], *values)
+
+
 def newest_file(spark: SparkSession, folder: str, template: str) -> str | None:
     """SRC-08: path of the file a template stands for.
 

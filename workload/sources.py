@@ -81,6 +81,33 @@ def src_07(data: Data) -> DataFrame:
     return rows.select("id", "status", "flag", "note", "nested")
 
 
+@query(
+    "src_07_records_in_one_pass",
+    """SELECT 0 AS position, CAST(o_orderkey AS STRING) AS id, o_orderstatus AS status, 'true' AS flag,
+      NULL AS data, '{"a":1}' AS nested FROM orders WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 1, CAST(o_custkey AS STRING), NULL, 'false', NULL, NULL FROM orders
+      WHERE o_orderstatus = 'F'
+    UNION ALL SELECT 0, CAST(o_orderkey AS STRING), NULL, NULL, NULL, '[1,null]' FROM orders
+      WHERE o_orderstatus = 'O'
+    UNION ALL SELECT 0, CAST(o_orderkey AS STRING), o_orderstatus, NULL, NULL, NULL FROM orders
+      WHERE o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'
+    UNION ALL SELECT 0, NULL, NULL, NULL, NULL, NULL FROM orders
+      WHERE o_orderstatus = 'P' AND o_orderpriority = '5-LOW'""",
+)
+def src_07_records(data: Data) -> DataFrame:
+    """Documents of four shapes in one folder: items under ``data``, a list, one object whose
+    ``data`` is null, and text that is no JSON."""
+    path = scratch_path(data.spark, "records")
+    document = """CASE WHEN o_orderstatus = 'F' THEN '{"data":[{"id":' || o_orderkey || ',"status":"F",'
+        || '"flag":true,"nested":{"a":1}},{"id":' || o_custkey || ',"status":null,"flag":false}]}'
+      WHEN o_orderstatus = 'O' THEN '[{"id":' || o_orderkey || ',"nested":[1,null]}]'
+      WHEN o_orderpriority <> '5-LOW' THEN '{"id":"' || o_orderkey || '","status":"P","data":null}'
+      ELSE '{"id": broken' END AS value"""
+    data["orders"].selectExpr(document).write.text(path)
+    records = readers.read_records(data.spark, path, per_line=True)
+    return readers.record_text(records, ["id", "status", "flag", "data", "nested"]).drop("file")
+
+
 def _feed_folder(data: Data) -> str:
     """Three dated drops of one feed and a stray file beside them."""
     folder = scratch_path(data.spark, "feed")
