@@ -11,7 +11,6 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from goldrow.operators.dedup import latest_per_key
 from goldrow.plans.catalog import STAGES
 
 # Load window that stands for "everything".
