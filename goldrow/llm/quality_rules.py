@@ -56,8 +56,9 @@ def repeated_words(table: WordTable, window: int = WINDOW_WORDS) -> np.ndarray:
         return np.zeros(n_texts, np.int64)
     text = np.repeat(np.arange(n_texts, dtype=np.uint64), np.diff(table.starts))
     codes = table.codes.astype(np.uint64)
-    # 64-bit hash of the text's number and the window's words.
-    h = text[: n - window + 1].copy()
+    # 64-bit hash of the text's number and the window's words; the number is spread first, as
+    # it and the codes are small numbers, of which many have the same XOR.
+    h = text[: n - window + 1] * _MIX
     for k in range(window):
         h = (h ^ codes[k : n - window + 1 + k]) * _MIX
         h ^= h >> np.uint64(29)
@@ -69,6 +70,11 @@ def repeated_words(table: WordTable, window: int = WINDOW_WORDS) -> np.ndarray:
     if len(twice):
         at = np.minimum(np.searchsorted(twice, h), len(twice) - 1)
         first = inside[twice[at] == h]
+        # The hash only picks: windows are equal if their text and all their words are.
+        keys = [text[first], *(table.codes[first + k] for k in range(window))]
+        order = np.lexsort(keys)
+        equal = np.logical_and.reduce([np.diff(key[order]) == 0 for key in keys])
+        first = first[order[np.append(equal, False) | np.insert(equal, 0, False)]]
         for k in range(window):
             covered[first + k] = 1
     return segment_sums(covered, table.starts)

@@ -373,6 +373,22 @@ def test_counts_equal_the_definition(texts):
     assert [tuple(c[i] for c in got) for i in range(len(texts))] == [plain_counts(t) for t in texts]
 
 
+def test_windows_of_different_texts_are_not_repeats():
+    rng = random.Random(4)
+    some = [" ".join(rng.choices("abcdefgh", k=rng.randrange(12))) for _ in range(400)]
+    for texts in (["a b c", "b b c"], some):
+        data = large(texts)
+        got = quality_rules.repeated_words(words.word_table(data)).tolist()
+        assert got == [plain_counts(t)[4] for t in texts]
+
+
+def test_windows_of_equal_hash_are_compared(monkeypatch):
+    monkeypatch.setattr(quality_rules, "_MIX", np.uint64(0))
+    texts = ["a b c d e f", "a b c d", "x a b c y a b c", "c b a"]
+    got = quality_rules.repeated_words(words.word_table(large(texts))).tolist()
+    assert got == [plain_counts(t)[4] for t in texts] == [0, 0, 6, 0]
+
+
 def test_quality_job(texts, nothing):
     models = quality_rules.train(texts)
     rows = quality_rules.apply_rules(texts, models).collect()
