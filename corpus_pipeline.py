@@ -33,8 +33,9 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id, and documents
     without an id, which belong to no group.
 
-    Near-duplicates share four fifths of their five-word shingles; ``op5``'s fingerprints of
-    three words and three bits are far stricter."""
+    Near-duplicates share four fifths of their five-word shingles. ``op5``'s fingerprints,
+    up to seven bits apart and not three, give the first candidates; minima of the shingles
+    give those that are further apart."""
     share_package(spark)
     found = similar.near_duplicates(docs, "doc_id")
     dropped = write_through(

@@ -10,6 +10,11 @@ signature. Then the other segment is cut in two and its variants are added, and
 the segment of these that is left: a signature of three levels leaves 11 of the 64 bits
 open, so no more than 2,048 fingerprints can share it. A group is compared inside one
 task, which gives back one link per fingerprint and not the pairs: what it connects.
+
+``near_pairs`` gives pairs instead, for a caller that verifies them on the texts and has
+another way for what is missing. More and shorter segments reach further: of up to
+``2 k - 1`` differing bits one of k segments holds at most one. Short segments are shared by
+chance, so a group is only looked through, in order of its fingerprints.
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ PART = 1 << 16
 GROUP_ROWS = 1024
 #: Signatures of one bit left out, per level: widths of the two halves that are cut.
 LEVEL_BITS = (32, 16, 8)
+#: Pairs that ``near_pairs`` takes of one fingerprint and signature, and how many of the
+#: following fingerprints it looks at for them.
+PAIRS, REACH = 8, 1024
 
 
 def _fingerprints(texts: pa.Array, words: int, seed: int) -> np.ndarray:
@@ -66,6 +74,13 @@ def _fingerprints(texts: pa.Array, words: int, seed: int) -> np.ndarray:
     return out
 
 
+def fingerprint_array(
+    texts: pa.Array, words: int = SHINGLE_WORDS, seed: int = SEED
+) -> pa.Array:
+    """The fingerprints of texts without nulls, as bigint."""
+    return pa.array(_fingerprints(pc.ascii_lower(texts), words, seed).view(np.int64))
+
+
 def fingerprint(
     df: DataFrame,
     text: str = "text",
@@ -85,10 +100,8 @@ def fingerprint(
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            values = _fingerprints(pc.ascii_lower(texts_of(block)), words, seed)
-            yield pa.RecordBatch.from_arrays(
-                [block.column("row"), pa.array(values.view(np.int64))], names=schema.names
-            )
+            values = fingerprint_array(texts_of(block), words, seed)
+            yield pa.RecordBatch.from_arrays([block.column("row"), values], names=schema.names)
 
     return rows.mapInArrow(task, schema).select(*of_row(kept), F.col("fp").alias(out))
 
@@ -245,6 +258,99 @@ def links(fingerprints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return found.distinct()
 
 
+def _segments(max_bits: int) -> list[tuple[int, int]]:
+    """First bit and end of as many segments as leave one of them with one difference."""
+    n = max_bits // 2 + 1
+    return [(64 * i // n, 64 * (i + 1) // n) for i in range(n)]
+
+
+def _signature_keys(max_bits: int) -> list[Column]:
+    """Per bit left out, its number above the other bits of its segment."""
+    keys = []
+    for low, high in _segments(max_bits):
+        whole = (1 << (high - low)) - 1
+        moved = F.shiftrightunsigned("fp", low)
+        for bit in range(low, high):
+            kept = moved.bitwiseAND(F.lit(whole & ~(1 << (bit - low))))
+            keys.append(kept.bitwiseOR(F.lit(bit << 32)))
+    return keys
+
+
+def _first_shared(differing: np.ndarray, max_bits: int) -> np.ndarray:
+    """The bit left out of the first signature that fingerprints share, by their XOR."""
+    out = np.full(len(differing), -1)
+    for low, high in _segments(max_bits):
+        here = differing >> np.uint64(low) & np.uint64((1 << (high - low)) - 1)
+        bits = np.bitwise_count(here)
+        at = low + np.where(bits == 1, np.bitwise_count(here - (bits == 1)), 0)
+        out = np.where((out < 0) & (bits <= 1), at, out)
+    return out
+
+
+def _pairs_in_order(max_bits: int, pairs: int, reach: int):
+    """Task over rows (key, fp, node) sorted by key and fp: the near pairs whose first shared
+    signature is the key. Every row meets the ``reach`` next ones of its key until it is near
+    ``pairs`` of them."""
+
+    def task(batches) -> Iterator[pa.RecordBatch]:
+        # Rows that the next batch may go on with, and the pairs that they have.
+        held = [np.zeros(0, np.int64) for _ in range(4)]
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            new = [batch.column(c).to_numpy() for c in ("key", "fp", "node")]
+            new.append(np.zeros(batch.num_rows, np.int64))
+            old = len(held[0])
+            key, fp, node, found = (np.concatenate(both) for both in zip(held, new, strict=True))
+            bits = fp.view(np.uint64)
+            left = np.flatnonzero(found < pairs)
+            a, b = [], []
+            for step in range(1, reach + 1):
+                left = left[: np.searchsorted(left, len(key) - step)]
+                left = left[(key[left] == key[left + step]) & (found[left] < pairs)]
+                if not len(left):
+                    break
+                fresh = left[left + step >= old]
+                differing = bits[fresh] ^ bits[fresh + step]
+                near = np.bitwise_count(differing) <= max_bits
+                differing, near = differing[near], fresh[near]
+                found[near] += 1
+                # A pair shares up to 64 signatures and is given out once.
+                near = near[_first_shared(differing, max_bits) == key[near] >> 32]
+                a.append(node[near])
+                b.append(node[near + step])
+            start = max(int(np.searchsorted(key, key[-1])), len(key) - reach)
+            held = [c[start:] for c in (key, fp, node, found)]
+            none = np.zeros(0, np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([none, *a])), pa.array(np.concatenate([none, *b]))],
+                names=["a", "b"],
+            )
+
+    return task
+
+
+def near_pairs(fingerprints: DataFrame, max_bits: int) -> DataFrame:
+    """Pairs (a, b) of ``node`` whose ``fp`` differ in at most ``max_bits`` bits, from distinct
+    rows (fp, node).
+
+    A signature that more than ``REACH`` rows share, and a row near more than ``PAIRS`` others
+    of it, do not give all of them: that many are alike has to be found in another way too.
+    """
+    if not 2 <= max_bits < 64:
+        raise ValueError("signatures are of two segments or more")
+    partitions = int(fingerprints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (
+        fingerprints.select("fp", "node")
+        .repartition(partitions, "node")  # before each becomes 64 rows
+        .select("fp", "node", F.explode(F.array(*_signature_keys(max_bits))).alias("key"))
+        .repartition("key")
+        .sortWithinPartitions("key", "fp")
+        .select("key", "fp", "node")
+        .mapInArrow(_pairs_in_order(max_bits, PAIRS, REACH), "a bigint, b bigint")
+    )
+
+
 def near_duplicates(
     df: DataFrame,
     key: str,

@@ -1,11 +1,15 @@
-"""Near-duplicates by the Jaccard similarity of their shingle sets.
+"""SimHash near-duplicates of a Jaccard similarity of their shingle sets.
 
-A fingerprint of 64 bits does not find pairs of similarity 0.8: they differ in about ten
-bits, and segments short enough to agree in spite of that agree for unrelated texts too. So
-candidates come from minima: per hash function the smallest value over a text's shingles,
-which two texts share with the probability of their similarity. ``ROWS`` minima are one
-band, and texts that agree in any of ``BANDS`` bands are candidates. Every candidate pair
-is verified on the shingle sets themselves.
+Candidates are pairs whose fingerprints, those of ``simhash``, differ in at most
+``PRINT_BITS`` bits; deletion-variant signatures find them. Every candidate pair is verified
+on the shingle sets themselves.
+
+A fingerprint of 64 bits does not show all pairs of similarity 0.8: many differ in ten bits
+or more, and segments short enough to agree in spite of that agree for unrelated texts too.
+What fingerprints leave unsettled is found by minima: per hash function the smallest value
+over a text's shingles, which two texts share with the probability of their similarity.
+``ROWS`` minima are one band, and texts that agree in any of ``BANDS`` bands, and are not
+linked by way of fingerprints, are candidates too.
 
 Texts of one shingle set are one node. In a bucket, the texts of one band value, of up to
 ``BUCKET`` nodes all pairs are candidates. In a larger one each node and ``LEADERS`` of them
@@ -30,6 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from goldrow.llm import simhash
 from goldrow.llm.components import components
 from goldrow.llm.words import blocks, texts_of, word_table
 from goldrow.session import write_through
@@ -38,6 +43,8 @@ from goldrow.session import write_through
 SHINGLE_WORDS = 5
 #: Least similarity of a link, as a fraction.
 LEAST = (4, 5)
+#: Fingerprints of candidates differ at this many bits or fewer.
+PRINT_BITS = 7
 #: A pair of similarity 0.8 agrees in some band with probability 1 - (1 - 0.8**5)**20 = 0.9996.
 BANDS, ROWS = 20, 5
 #: Nodes of a bucket of which all pairs are candidates.
@@ -105,19 +112,22 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def _sketched(df: DataFrame, words: int) -> DataFrame:
-    """Rows (id, copy, node, bands) of rows (id, copy, text)."""
+    """Rows (id, copy, node, fp, bands) of rows (id, copy, text)."""
 
     def task(batches) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text"):
-            sets = shingle_sets(pc.ascii_lower(texts_of(block)), words)
-            columns = [_nodes(sets), _lists([band_keys(s) for s in sets])]
+            texts = texts_of(block)
+            sets = shingle_sets(pc.ascii_lower(texts), words)
+            columns = [_nodes(sets), simhash.fingerprint_array(texts)]
+            columns.append(_lists([band_keys(s) for s in sets]))
             yield pa.RecordBatch.from_arrays(
                 [block.column("id"), block.column("copy"), *columns],
-                names=["id", "copy", "node", "bands"],
+                names=["id", "copy", "node", "fp", "bands"],
             )
 
     kind = df.schema["id"].dataType.simpleString()
-    return df.mapInArrow(task, f"id {kind}, copy bigint, node bigint, bands array<bigint>")
+    new = "copy bigint, node bigint, fp bigint, bands array<bigint>"
+    return df.mapInArrow(task, f"id {kind}, {new}")
 
 
 def _nodes(sets: list[np.ndarray]) -> pa.Array:
@@ -184,6 +194,20 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(one, "b").join(other, "a").where(of * both >= least * either).select("a", "b")
 
 
+def _unlinked(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+    """The pairs (a, b) but for those that stored ``linked`` pairs, larger node first, join
+    directly or by the smallest neighbour that both ends have."""
+    least = linked.groupBy("a").agg(F.min("b").alias("least"))
+    of = lambda end: least.select(F.col("a").alias(end), F.col("least").alias(f"of_{end}"))
+    return (
+        pairs.join(linked, ["a", "b"], "left_anti")
+        .join(of("a"), "a", "left")
+        .join(of("b"), "b", "left")
+        .where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b"))
+        .select("a", "b")
+    )
+
+
 def _open_nodes(shared: DataFrame, grouped: DataFrame) -> DataFrame:
     """Nodes (node, label) of large buckets that hold more than one component."""
     labels = grouped.select("node", F.col("component").alias("label"))
@@ -346,8 +370,12 @@ def near_duplicates(
         rows.select("node", F.explode("bands").alias("key")).distinct(), "bands"
     )
     shared = _shared_buckets(signed)
-    pairs = write_through(_candidates(shared), "candidates")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    prints = rows.select("fp", "node").distinct()
+    close = write_through(
+        _ordered_pairs(simhash.near_pairs(prints, PRINT_BITS)), "close-fingerprints"
+    )
+    ends = close.select(F.explode(F.array("a", "b")).alias("node"))
+    wanted = shared.select("node").unionByName(ends).distinct()
     chosen = write_through(classes.join(wanted, "node").select("copy"), "candidate-copies")
     # Only texts of candidates become sets again; copies are one before their sets travel.
     texts = write_through(source.join(chosen, "copy", "left_semi").select("text"), "candidate-texts")
@@ -355,7 +383,9 @@ def near_duplicates(
         _sets(texts, words).groupBy("node").agg(F.first("shingles").alias("shingles")),
         "candidate-sets",
     )
-    found = write_through(_verified(pairs, sets), "similar")
+    linked = write_through(_verified(close, sets), "similar-fingerprints")
+    pairs = write_through(_unlinked(_candidates(shared), linked), "candidates")
+    found = write_through(linked.unionByName(_verified(pairs, sets)), "similar")
     grouped = components(found)
     placed = classes.join(grouped, "node", "left").withColumn(
         "component", F.coalesce("component", "node")

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from goldrow.llm import similar
+from goldrow.llm import simhash, similar
 from tests.conftest import SMALL
 from tests.llm.conftest import TEXTS
 
@@ -102,6 +105,27 @@ def test_crowded_rare_shingles_go_in_blocks(spark, monkeypatch):
     assert components_of(spark, texts) == smallest_reached(texts)
 
 
+def test_fingerprints_alone_find_what_is_within_their_bits(spark, monkeypatch):
+    no_pairs = lambda shared: shared.select(F.col("node").alias("a"), F.col("node").alias("b")).where("false")
+    no_nodes = lambda shared, grouped: grouped.selectExpr("node", "component AS label").where("false")
+    monkeypatch.setattr(similar, "_candidates", no_pairs)
+    monkeypatch.setattr(similar, "_open_nodes", no_nodes)
+    texts = templated(random.Random(11), 60)
+    sets = [shingles(t) for t in texts]
+    values = simhash.fingerprint_array(pa.array(texts, pa.large_string())).to_pylist()
+    close = lambda i, j: ((values[i] ^ values[j]) & (2**64 - 1)).bit_count() <= 7
+    pairs = [(i, j) for i in range(len(texts)) for j in range(i) if close(i, j)]
+    linked = [(i, j) for i, j in pairs if alike(sets[i], sets[j])]
+    assert 20 < len(linked) < len(pairs)  # the others are verified away
+    label = list(range(len(texts)))
+    for i, j in linked:
+        low, high = sorted((label[i], label[j]))
+        label = [low if x == high else x for x in label]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    kept = {r["doc_id"] for r in corpus_pipeline.distinct(spark, df, SMALL).collect()}
+    assert kept == {i for i in range(len(texts)) if label[i] == i}
+
+
 def test_similar_job(texts, nothing):
     rows = similar.near_duplicates(texts, "doc_id").collect()
     got = {r["doc_id"]: r["component_id"] for r in rows}

@@ -294,6 +294,41 @@ def test_links_equal_brute_force(spark, monkeypatch, rows):
     assert got == want
 
 
+@pytest.mark.parametrize("max_bits", [3, 7])
+@pytest.mark.parametrize("rows", [3, 10_000])
+def test_near_pairs_equal_brute_force(spark, max_bits, rows):
+    rng = random.Random(max_bits)
+    fps = [0, 0, (1 << 64) - 1]
+    for _ in range(30):
+        fp = rng.getrandbits(64)
+        fps.append(fp)
+        for bits in (2, 3, 4, 7, 8):
+            fps.append(fp ^ sum(1 << bit for bit in rng.sample(range(64), bits)))
+    df = spark.createDataFrame([(f - (f >> 63 << 64), i) for i, f in enumerate(fps)], "fp long, node long")
+    size = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(size)
+    spark.conf.set(size, str(rows))
+    try:
+        got = sorted(tuple(sorted(r)) for r in simhash.near_pairs(df, max_bits).collect())
+    finally:
+        spark.conf.set(size, before)
+    near = lambda i, j: (fps[i] ^ fps[j]).bit_count() <= max_bits
+    assert got == [(j, i) for j in range(len(fps)) for i in range(j + 1, len(fps)) if near(i, j)]
+
+
+@pytest.mark.parametrize("size", [1, 4, 50])
+def test_crowded_signatures_give_some_pairs_of_each_row(size):
+    task = simhash._pairs_in_order(7, pairs=2, reach=3)
+    # Two signatures without bit 0, and one without bit 1, where the pairs are known already.
+    fp = [0] * 20 + [2] * 10 + [0] * 20
+    columns = {"key": [0] * 20 + [2] * 10 + [1 << 32] * 20, "fp": fp, "node": list(range(50))}
+    table = pa.table({c: pa.array(v, pa.int64()) for c, v in columns.items()})
+    out = pa.Table.from_batches(task(table.to_batches(max_chunksize=size))).to_pylist()
+    groups = [(0, 20), (20, 30)]
+    want = [(i, j) for s, e in groups for i in range(s, e) for j in (i + 1, i + 2) if j < e]
+    assert sorted((r["a"], r["b"]) for r in out) == want
+
+
 def test_simhash_job(texts, nothing):
     rows = {r["doc_id"]: r for r in simhash.near_duplicates(texts, "doc_id").collect()}
     assert len(rows) == len(TEXTS) + 1
