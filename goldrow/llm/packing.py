@@ -161,41 +161,52 @@ def pack_counts(
     counts: np.ndarray, capacity: int = CAPACITY, max_nodes: int = MAX_NODES
 ) -> list[Filling]:
     """Fillings that use ``counts[s]`` pieces of every length s from 1 to ``capacity``."""
-    counts = counts.astype(np.int64).copy()
-    counts[0] = 0
-    total = int((counts * np.arange(len(counts))).sum())
-    bound = max(-(-total // capacity), int(counts[capacity // 2 + 1 :].sum()))
+    left = counts.astype(np.int64).copy()
+    left[0] = 0
+    total = int((left * np.arange(len(left))).sum())
+    bound = max(-(-total // capacity), int(left[capacity // 2 + 1 :].sum()))
     best: list[Filling] | None = None
     best_bins = 0
 
-    def branches(counts: np.ndarray) -> Iterator[tuple[np.ndarray, Filling]]:
-        largest = int(np.flatnonzero(counts)[-1])
-        left = counts.copy()
+    # A path is thousands of fillings deep: all its nodes share ``left``, and hold only the
+    # fillings that they try.
+    def fillings() -> Iterator[Filling]:
+        largest = int(np.flatnonzero(left)[-1])
         left[largest] -= 1
-        for rest in completions(left, capacity - largest):
+        rests = completions(left, capacity - largest)
+        left[largest] += 1
+        found = []
+        for rest in rests:
             need = Counter((largest, *rest))
-            times = min(int(counts[s]) // n for s, n in need.items())
-            after = counts.copy()
-            for s, n in need.items():
-                after[s] -= n * times
-            yield after, Filling((largest, *rest), times)
+            times = min(int(left[s]) // n for s, n in need.items())
+            found.append(Filling((largest, *rest), times))
+        return iter(found)
 
     path: list[Filling] = []
     bins = waste = nodes = 0
-    stack = [branches(counts)] if counts.any() else []
+
+    def use(filling: Filling, times: int) -> None:
+        nonlocal bins, waste
+        for size in filling.lengths:
+            left[size] -= times
+        bins += times
+        waste += times * (capacity - sum(filling.lengths))
+
+    def undo() -> None:
+        undone = path.pop()
+        use(undone, -undone.times)
+
+    stack = [fillings()] if left.any() else []
     if not stack:
         return []
     while stack:
-        step = next(stack[-1], None)
-        if step is None:
+        filling = next(stack[-1], None)
+        if filling is None:
             stack.pop()
             if path:
-                undone = path.pop()
-                bins -= undone.times
-                waste -= undone.times * (capacity - sum(undone.lengths))
+                undo()
             continue
         nodes += best is not None
-        left, filling = step
         lost = waste + filling.times * (capacity - sum(filling.lengths))
         # Waste that leaves no room below the incumbent's number of sequences.
         if best is not None and total + lost > (best_bins - 1) * capacity:
@@ -203,15 +214,13 @@ def pack_counts(
                 break
             continue
         path.append(filling)
-        bins, waste = bins + filling.times, lost
+        use(filling, filling.times)
         if left.any():
-            stack.append(branches(left))
+            stack.append(fillings())
         else:
             if best is None or bins < best_bins:
                 best, best_bins = list(path), bins
-            undone = path.pop()
-            bins -= undone.times
-            waste -= undone.times * (capacity - sum(undone.lengths))
+            undo()
         if best is not None and (best_bins == bound or nodes >= max_nodes):
             break
     return best

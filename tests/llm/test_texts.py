@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -176,6 +177,22 @@ def test_bin_completion_is_near_the_optimum(sizes):
     assert sum(f.times for f in plan) <= best(sorted(sizes, reverse=True), 20) + (len(sizes) > 7)
 
 
+def test_packing_search_keeps_no_table_of_counts_per_node():
+    lengths = np.random.default_rng(3).lognormal(6, 1, 3_000).astype(int).clip(1, 4096)
+    counts = np.bincount(lengths, minlength=4097)
+    tracemalloc.start()
+    try:
+        plan = packing.pack_counts(counts, max_nodes=1)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    used = np.zeros_like(counts)
+    for filling in plan:
+        np.add.at(used, list(filling.lengths), filling.times)
+    assert (used == counts).all() and len(plan) > 200
+    assert peak < 100 * counts.nbytes
+
+
 # --- suffix arrays
 
 
